@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -14,12 +15,23 @@ WORD = r"[^\x20\x09-\x0D]+"
 
 def checkpointed(df: DataFrame) -> DataFrame:
     """df, written to the cluster's shared checkpoint folder and read from there."""
-    spark = df.sparkSession
+    shared_folder(df.sparkSession)
+    return df.checkpoint()
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """The folder in spark.checkpoint.dir; where that is unset, as in tests, a temporary one."""
     sc = spark.sparkContext
     if sc._jsc.sc().getCheckpointDir().isEmpty():
-        at = spark.conf.get("spark.checkpoint.dir", "") or tempfile.mkdtemp(prefix="quire-")
-        sc.setCheckpointDir(at)
-    return df.checkpoint()
+        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", "") or tempfile.mkdtemp(prefix="quire-"))
+    return sc._jsc.sc().getCheckpointDir().get()
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """df as Parquet in the shared folder."""
+    at = f"{shared_folder(df.sparkSession)}/quire-{uuid.uuid4().hex}"
+    df.write.parquet(at)
+    return df.sparkSession.read.parquet(at)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

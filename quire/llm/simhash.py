@@ -30,7 +30,6 @@ LEAST_BYTES = 8 - MOST_BITS
 HOT = 512
 #: Pairs are formed in numpy up to lists of this length; longer ones are compared in blocks.
 SHORT = 64
-LAST = (1 << 63) - 1
 
 _U = np.uint64
 #: For each byte, its bits in eight lanes of eight bits.
@@ -69,15 +68,16 @@ def chunk_fingerprints(data: np.ndarray, offsets: np.ndarray, size: int) -> np.n
 
 
 def fingerprints(docs: DataFrame, shingle: int = SHINGLE, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """(doc_id, fp) for each row; null or wordless texts have fingerprint 0. One pass, no shuffle."""
+    """(doc_id, fp, th) for each row; null or wordless texts have fingerprint 0. One pass, no shuffle."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             fp = [chunk_fingerprints(c.data, c.offsets, shingle) for c in _text.chunks(b.column(1))]
             if fp:
-                yield pa.RecordBatch.from_arrays([b.column(0).cast(pa.int64()), pa.array(np.concatenate(fp).view(np.int64))], ["doc_id", "fp"])
+                yield pa.RecordBatch.from_arrays([b.column(0).cast(pa.int64()), pa.array(np.concatenate(fp).view(np.int64)), b.column(2)], ["doc_id", "fp", "th"])
 
-    return docs.select(F.col(doc_id).cast("long"), F.col(text).cast("string")).mapInArrow(run, "doc_id long, fp long")
+    found = docs.select(F.col(doc_id).cast("long"), F.col(text).cast("string").alias("text"))
+    return found.withColumn("th", F.xxhash64(F.coalesce("text", F.lit("")))).mapInArrow(run, "doc_id long, fp long, th long")
 
 
 def _mask(positions: tuple[int, ...]) -> int:
@@ -189,30 +189,41 @@ def links(nodes: DataFrame) -> DataFrame:
     return lists.repartition(n, "kind", "key").sortWithinPartitions("kind", "key").mapInArrow(run, "u long, v long")
 
 
+def classes(docs: DataFrame, shingle: int, text: str, doc_id: str) -> tuple[DataFrame, DataFrame]:
+    """Of each row (doc_id, fp, th), th a hash of its text; of each fp its class, the least fp reached."""
+    known = checkpointed(fingerprints(docs, shingle, text, doc_id))
+    nodes = checkpointed(known.groupBy(F.col("fp").alias("id")).count().select("id", F.col("id").alias("fp")))
+    found = components(links(nodes))
+    return known, nodes.join(found, nodes.id == found.node, "left").select("fp", F.coalesce("component", "fp").alias("class"))
+
+
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """(doc_id, fingerprint, component_id) for every row of docs.
 
     Rows link if their fingerprints differ in three bits at most; component_id is the smallest doc_id
     that can be reached. Null and empty texts have fingerprint zero and link like any other. Repeated
-    rows and doc_ids stay. A null doc_id takes part as the largest one; a component of null doc_ids
-    alone has a null component_id. Columns of docs other than the two named are not read.
+    rows and doc_ids stay. A null doc_id links, but never is a component_id; where a component has no
+    other, its component_id is null. Columns of docs other than the two named are not read.
     """
-    known = checkpointed(fingerprints(docs, shingle, text, doc_id))
-    nodes = checkpointed(known.groupBy("fp").agg(F.min(F.coalesce("doc_id", F.lit(LAST))).alias("id")))
-    found = components(links(nodes))
-    classes = nodes.join(found, nodes.id == found.node, "left").select("fp", F.nullif(F.coalesce("component", "id"), F.lit(LAST)).alias("component_id"))
-    return known.join(classes, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+    known, of = classes(docs, shingle, text, doc_id)
+    of = checkpointed(of)
+    least = known.groupBy("fp").agg(F.min("doc_id").alias("id")).join(of, "fp").groupBy("class").agg(F.min("id").alias("component_id"))
+    of = of.join(least, "class").select("fp", "component_id")
+    return known.join(of, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
 def keep_first(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """One row of docs for each component: that of its smallest doc_id, with all its columns.
-
-    Of rows that share this doc_id the one with the smallest text hash stays. Rows with a null doc_id
-    stay only where their component has no other; of those, one.
+    """One row of docs for each component, with all its columns: that of its smallest doc_id, or a row
+    without doc_id where it has no other. Of rows that share this doc_id the one with the smallest text
+    hash stays.
     """
-    firsts = near_duplicates(docs, shingle).where("doc_id <=> component_id").groupBy("doc_id").agg(F.count("*").alias("n"))
-    firsts = firsts.withColumnRenamed("doc_id", "id").hint("shuffle_hash")
-    kept = docs.select(F.struct("*").alias("row")).join(firsts, F.col("row.doc_id").eqNullSafe(F.col("id")))
-    rank = F.row_number().over(Window.partitionBy("id").orderBy(F.xxhash64("row.text")))
+    known, of = classes(docs, shingle, "text", "doc_id")
+    least = F.min(F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), "th"))
+    copies = known.groupBy("doc_id", "th", "fp").agg(F.count("*").alias("n"))
+    first = copies.join(of, "fp").groupBy("class").agg(F.min_by("n", F.struct(F.col("doc_id").isNull(), "doc_id", "th")).alias("n"), least.alias("first"))
+    first = first.select("n", "first.id", "first.th").hint("shuffle_hash")
+    rows = docs.select(F.struct("*").alias("row"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("hash"))
+    kept = rows.join(first, F.col("row.doc_id").eqNullSafe(F.col("id")) & (F.col("hash") == F.col("th")))
+    rank = F.row_number().over(Window.partitionBy("id", "th").orderBy("id"))
     several = kept.where("n > 1").withColumn("rank", rank).where("rank = 1")
     return kept.where("n = 1").select("row.*").unionByName(several.select("row.*"))
