@@ -4,14 +4,26 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import simhash
+from . import linededup, mixing, simhash
 from ._common import table
 
 
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return linededup.report(table(spark, sf_dir, "documents"))
+
+
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints over shingles of three words, as the contract of this query fixes."""
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=3)
 
 
-QUERIES = {"op4_simhash": op4_simhash}
-ORACLE_SQL: dict[str, str] = {}
+def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {
+    "op2_line_dedup": op2_line_dedup,
+    "op4_simhash": op4_simhash,
+    "op5_mixing": op5_mixing,
+}
+ORACLE_SQL: dict[str, str] = {"op2_line_dedup": linededup.SQL, "op5_mixing": mixing.SQL}
