@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import linededup, mixing, simhash
+from . import linededup, mixing, quality_rules, simhash
 from ._common import table
 
 
@@ -12,6 +12,10 @@ def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linededup.report(table(spark, sf_dir, "documents"))
 
 
+def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints over shingles of three words, as the contract of this query fixes."""
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=3)
@@ -23,7 +27,8 @@ def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op2_line_dedup": op2_line_dedup,
+    "op3_quality_rules": op3_quality_rules,
     "op4_simhash": op4_simhash,
     "op5_mixing": op5_mixing,
 }
-ORACLE_SQL: dict[str, str] = {"op2_line_dedup": linededup.SQL, "op5_mixing": mixing.SQL}
+ORACLE_SQL: dict[str, str] = {"op2_line_dedup": linededup.SQL, "op3_quality_rules": quality_rules.SQL, "op5_mixing": mixing.SQL}
