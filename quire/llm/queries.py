@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import linededup, mixing, quality_rules, simhash
+from . import linededup, mixing, quality_rules, simhash, substring
 from ._common import table
 
 
@@ -25,10 +25,15 @@ def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
+def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring.dedup(table(spark, sf_dir, "documents")).drop("text")
+
+
 QUERIES = {
     "op2_line_dedup": op2_line_dedup,
     "op3_quality_rules": op3_quality_rules,
     "op4_simhash": op4_simhash,
     "op5_mixing": op5_mixing,
+    "op9_substring_dedup": op9_substring_dedup,
 }
-ORACLE_SQL: dict[str, str] = {"op2_line_dedup": linededup.SQL, "op3_quality_rules": quality_rules.SQL, "op5_mixing": mixing.SQL}
+ORACLE_SQL: dict[str, str] = {"op2_line_dedup": linededup.SQL, "op3_quality_rules": quality_rules.SQL, "op5_mixing": mixing.SQL, "op9_substring_dedup": substring.SQL}
