@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import langid, linededup, mixing, nbsvm, quality_rules, simhash, substring, toxicity
+from . import decontam, langid, linededup, mixing, nbsvm, quality_rules, simhash, substring, toxicity
 from ._common import crc_rest, table
 
 
@@ -38,6 +38,10 @@ def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.contained(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = nbsvm.train(docs, table(spark, sf_dir, "labels"), crc_rest(F.col("id"), 3) != 1)
@@ -60,6 +64,7 @@ QUERIES = {
     "op3_quality_rules": op3_quality_rules,
     "op4_simhash": op4_simhash,
     "op5_mixing": op5_mixing,
+    "op7_decontamination": op7_decontamination,
     "op8_quality_classifier": op8_quality_classifier,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_toxicity": op10_toxicity,
