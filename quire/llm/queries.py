@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, langid, linededup, mixing, nbsvm, quality_rules, simhash, substring, toxicity
+from . import decontam, langid, linededup, lmscore, mixing, nbsvm, quality_rules, simhash, substring, toxicity
 from ._common import crc_rest, table
 
 
@@ -38,6 +38,11 @@ def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
+def op6_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = lmscore.score(table(spark, sf_dir, "documents"))
+    return found.withColumn("log_score", F.round("log_score", 6))
+
+
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.contained(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -64,9 +69,10 @@ QUERIES = {
     "op3_quality_rules": op3_quality_rules,
     "op4_simhash": op4_simhash,
     "op5_mixing": op5_mixing,
+    "op6_lm_score": op6_lm_score,
     "op7_decontamination": op7_decontamination,
     "op8_quality_classifier": op8_quality_classifier,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_toxicity": op10_toxicity,
 }
-ORACLE_SQL: dict[str, str] = {"op2_line_dedup": linededup.SQL, "op3_quality_rules": quality_rules.SQL, "op5_mixing": mixing.SQL, "op9_substring_dedup": substring.SQL}
+ORACLE_SQL: dict[str, str] = {"op2_line_dedup": linededup.SQL, "op3_quality_rules": quality_rules.SQL, "op5_mixing": mixing.SQL, "op6_lm_score": lmscore.SQL, "op9_substring_dedup": substring.SQL}
