@@ -2,5 +2,88 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
+from quire.operators import margins, segments, stats
+from quire.sources import layout
+
+from . import oracle as O
+
 QUERIES: dict = {}
 ORACLE_SQL: dict = {}
+
+
+def query(sql: str | None = None):
+    """Registers a query under its function's name."""
+
+    def add(f):
+        QUERIES[f.__name__] = f
+        if sql is not None:
+            ORACLE_SQL[f.__name__] = sql
+        return f
+
+    return add
+
+
+def docs(spark, d, *columns):
+    found = spark.read.parquet(f"{d}/documents.parquet")
+    return found.select(*columns) if columns else found
+
+
+def lines(spark, d):
+    return layout.layout_lines(docs(spark, d, "doc_id", "text", "source"))
+
+
+@query(O.document_chunks() + "SELECT doc_id, count(*) FILTER (WHERE kind = 'h1') AS h1, count(*) FILTER (WHERE kind = 'h2') AS h2, count(*) FILTER (WHERE kind = 'h3') AS h3, count(*) FILTER (WHERE kind = 'blockquote') AS blockquote, count(*) FILTER (WHERE kind = 'p') AS p FROM chunks GROUP BY doc_id")
+def flagship_kind_counts(spark, d):
+    found = segments.document_chunks(lines(spark, d))
+    return found.groupBy("doc_id").agg(*(F.count_if(F.col("kind") == k).alias(k) for k in ("h1", "h2", "h3", "blockquote", "p")))
+
+
+@query(O.with_(O.LINES_SQL) + "SELECT * FROM lines")
+def layout_lines(spark, d):
+    return lines(spark, d)
+
+
+@query(O.with_(O.LINES_SQL, O.patterns_cte()) + "SELECT * FROM patterns")
+def margin_repeats_sem(spark, d):
+    return margins.repeated_patterns(lines(spark, d))
+
+
+@query(O.with_(O.LINES_SQL, O.patterns_cte(True)) + "SELECT * FROM patterns")
+def margin_repeats_sem_compat(spark, d):
+    return margins.repeated_patterns(lines(spark, d), compat=True)
+
+
+@query(O.with_(O.LINES_SQL, O.STATS) + "SELECT * FROM stats")
+def doc_stats(spark, d):
+    return stats.doc_stats(lines(spark, d))
+
+
+@query(O.with_(O.LINES_SQL, O.patterns_cte(), O.reasons_cte()) + "SELECT doc_id, page_no, ord, reason FROM reasons WHERE reason IS NOT NULL")
+def drop_lines_reasoned(spark, d):
+    return margins.reasons(lines(spark, d)).where("reason IS NOT NULL").select("doc_id", "page_no", "ord", "reason")
+
+
+@query(O.with_(O.LINES_SQL, O.patterns_cte(), O.reasons_cte(), O.STATS, O.islands_cte()) + "SELECT doc_id, page_no, ord, chunk FROM islands")
+def paragraph_islands_sem(spark, d):
+    raw = lines(spark, d)
+    kept = margins.reasons(raw).where("reason IS NULL").drop("reason")
+    return segments.paragraphs(kept, stats.doc_stats(raw)).select("doc_id", "page_no", "ord", "chunk")
+
+
+@query(O.with_(O.LINES_SQL, O.patterns_cte(), O.reasons_cte(), O.STATS, O.islands_cte(True)) + "SELECT doc_id, page_no, ord, chunk FROM islands")
+def paragraph_islands_semb(spark, d):
+    raw = lines(spark, d)
+    kept = margins.reasons(raw).where("reason IS NULL").drop("reason")
+    return segments.paragraphs_base(kept, stats.doc_stats(raw)).select("doc_id", "page_no", "ord", "chunk")
+
+
+@query(O.document_chunks() + "SELECT doc_id, page_no, chunk, kind, text, x0, y0, x1, y1, n_lines FROM chunks")
+def chunk_kinds(spark, d):
+    return segments.document_chunks(lines(spark, d)).drop("texts")
+
+
+@query(O.document_chunks(True) + "SELECT doc_id, page_no, chunk, kind, text, n_lines FROM chunks")
+def chunk_kinds_base(spark, d):
+    return segments.document_chunks(lines(spark, d), base=True).select("doc_id", "page_no", "chunk", "kind", "text", "n_lines")
