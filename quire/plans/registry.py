@@ -4,10 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from quire.operators import margins, segments, stats
+from quire.functions import patterns as P
+from quire.operators import blocks, margins, meta, segments, stats
+from quire.sources import judgments as J
 from quire.sources import layout
 
 from . import oracle as O
+from . import oracle_meta as M
 
 QUERIES: dict = {}
 ORACLE_SQL: dict = {}
@@ -87,3 +90,125 @@ def chunk_kinds(spark, d):
 @query(O.document_chunks(True) + "SELECT doc_id, page_no, chunk, kind, text, n_lines FROM chunks")
 def chunk_kinds_base(spark, d):
     return segments.document_chunks(lines(spark, d), base=True).select("doc_id", "page_no", "chunk", "kind", "text", "n_lines")
+
+
+def judgments(spark, d):
+    return J.judgment_lines(docs(spark, d, "doc_id", "text").where("text IS NOT NULL"))
+
+
+META = O.with_(J.LINES_SQL, M.HEAD)
+
+
+@query(META + f"SELECT doc_id, citation, {M.YEAR} AS neutral_citation_year, {M.NUMBER} AS neutral_citation_number FROM cited")
+def meta_citation(spark, d):
+    return meta.extract(judgments(spark, d)).select("doc_id", "citation", "neutral_citation_year", "neutral_citation_number")
+
+
+@query(META + f"SELECT doc_id, {M.CASE} AS case_number FROM head")
+def meta_case_number(spark, d):
+    return meta.extract(judgments(spark, d)).select("doc_id", "case_number")
+
+
+@query(META + f"SELECT doc_id, {M.DATE} AS judgment_date, {M.RESERVED} AS reserved_on FROM head")
+def meta_dates(spark, d):
+    return meta.extract(judgments(spark, d)).select("doc_id", "judgment_date", "reserved_on")
+
+
+@query(META + f"SELECT doc_id, {M.party(P.APPELLANT, 1)} AS appellant, {M.party(P.RESPONDENT, 2)} AS respondent FROM head")
+def meta_parties(spark, d):
+    return meta.extract(judgments(spark, d)).select("doc_id", "appellant", "respondent")
+
+
+@query(META + f"SELECT doc_id, connected AS is_connected_matter, CASE WHEN connected THEN {O.strip(M.grab('head_text', P.LEAD_CASE, 1))} ELSE '' END AS lead_case FROM (SELECT *, {M.CONNECTED} AS connected FROM head)")
+def meta_connected(spark, d):
+    return meta.extract(judgments(spark, d)).select("doc_id", "is_connected_matter", "lead_case")
+
+
+@query(O.with_(J.LINES_SQL, M.HEAD, M.BENCH) + "SELECT doc_id, bench, citation LIKE '%-DB' OR len(bench) >= 2 AS is_division_bench FROM benches")
+def meta_bench(spark, d):
+    return meta.extract(judgments(spark, d)).select("doc_id", "bench", "is_division_bench")
+
+
+@query(O.with_(J.LINES_SQL, M.HEAD, M.JUDGE) + f"SELECT doc_id, judgment_by, {O.like('full_text', P.ORAL)} AS is_oral_judgment, {O.like('full_text', P.VIDEO)} AS via_video_conferencing FROM judges")
+def meta_judge(spark, d):
+    return meta.extract(judgments(spark, d)).select("doc_id", "judgment_by", "is_oral_judgment", "via_video_conferencing")
+
+
+@query(META + f"SELECT doc_id, {M.REFS} AS referred_cases FROM cited")
+def meta_refs(spark, d):
+    return meta.extract(judgments(spark, d)).select("doc_id", "referred_cases")
+
+
+@query(META + f"SELECT doc_id, {M.ACTS} AS acts_referred FROM head")
+def meta_acts(spark, d):
+    return meta.extract(judgments(spark, d)).select("doc_id", "acts_referred")
+
+
+@query()
+def meta_advocates(spark, d):
+    """Lookahead, which the oracle's engine lacks; tested against Python."""
+    return meta.extract(judgments(spark, d)).select("doc_id", "advocates_petitioner", "advocates_respondent")
+
+
+def entries(spark, d):
+    """Judgment lines with a page for each 30, and an indent and slant that vary by line."""
+    rows = judgments(spark, d).select("doc_id", F.posexplode("lines").alias("ord", "text"))
+    return rows.select("doc_id", "ord", F.floor(F.col("ord") / 30).cast("int").alias("i"), "text", (72 + F.when(F.col("ord") % 13 == 5, 90).when(F.col("ord") % 13 == 7, 70).when(F.col("ord") % 4 == 1, 20).otherwise(0)).cast("int").alias("indent"), (F.col("ord") % 26 == 7).alias("italic")).withColumn("page_no", F.col("i") + 1).drop("i")
+
+
+def zoned(spark, d):
+    found = entries(spark, d)
+    both = found.join(stats.base_indent(found), "doc_id")
+    return both.withColumn("zone", blocks.zone(F.col("text"), F.col("indent"), F.col("base_indent"), F.col("italic")))
+
+
+ENTRIES = O.with_(J.LINES_SQL, M.ENTRIES, M.ZONED)
+
+
+@query(O.with_(J.LINES_SQL, M.ENTRIES) + "SELECT * FROM base")
+def base_indent(spark, d):
+    return stats.base_indent(entries(spark, d))
+
+
+@query(ENTRIES + "SELECT doc_id, ord, zone FROM zoned")
+def block_zones(spark, d):
+    return zoned(spark, d).select("doc_id", "ord", "zone")
+
+
+@query(O.with_(J.LINES_SQL, M.ENTRIES, M.ZONED, M.SECTIONS) + "SELECT doc_id, ord, in_order, page_break FROM sections")
+def order_flag_page_breaks(spark, d):
+    return blocks.sections(zoned(spark, d)).select("doc_id", "ord", "in_order", "page_break")
+
+
+def items(spark, d):
+    kind = F.when(F.col("zone") == "order_heading", "heading").when(F.col("zone") == "quote", "quote").otherwise("body")
+    return zoned(spark, d).select("doc_id", "ord", kind.alias("kind"), "text")
+
+
+@query(O.with_(J.LINES_SQL, M.ENTRIES, M.ZONED, M.MERGED) + "SELECT * FROM merged")
+def para_merge_s2(spark, d):
+    return blocks.merged_paragraphs(items(spark, d))
+
+
+@query(O.with_(J.LINES_SQL, M.ENTRIES, M.ZONED, M.SECTIONS, M.JUDGES) + "SELECT * FROM places")
+def judge_name_places(spark, d):
+    return blocks.judge_places(blocks.sections(zoned(spark, d)))
+
+
+def outer(spark, d):
+    """Layout lines moved so that the first and last of a page lie in the outer margin."""
+    y = F.when(F.col("ord") == 1, 50.0).when(F.col("ord") == 24, 730.0).otherwise(F.col("y0"))
+    return lines(spark, d).withColumn("y0", y).withColumn("y1", y + 12)
+
+
+OUTER = "outer_ AS (SELECT * REPLACE (CASE WHEN ord = 1 THEN 50 WHEN ord = 24 THEN 730 ELSE y0 END AS y0, CASE WHEN ord = 1 THEN 62 WHEN ord = 24 THEN 742 ELSE y1 END AS y1) FROM lines)"
+
+
+@query(O.with_(O.LINES_SQL, OUTER, M.REPEATED) + "SELECT * FROM repeated")
+def margin_repeats_s2(spark, d):
+    return margins.repeated_lines(outer(spark, d))
+
+
+@query(O.with_(O.LINES_SQL, OUTER, M.REPEATED) + f"SELECT o.doc_id, o.page_no, o.ord, text FROM outer_ o ANTI JOIN repeated r ON o.doc_id = r.doc_id AND o.page_no = r.page_no AND o.ord = r.ord WHERE NOT ({O.like('text', P.PAGE_MARKER)} OR {O.like('text', P.TRAILING_MARKER)} OR text LIKE '%qrserver.com%' OR {O.like('text', P.ANNOTATION)} OR {O.like('text', P.BARE_CITATION)})")
+def clean_entries(spark, d):
+    return margins.clean_entries(outer(spark, d)).select("doc_id", "page_no", "ord", "text")
