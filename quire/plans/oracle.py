@@ -55,6 +55,29 @@ def escape(x: str) -> str:
     return x
 
 
+def markup(x: str) -> str:
+    for a, b in (("&", "&amp;"), ('"', "&quot;"), ("'", "&apos;"), ("<", "&lt;"), (">", "&gt;")):
+        x = f"replace({x}, {q(a)}, {q(b)})"
+    return x
+
+
+def json(x: str) -> str:
+    for a in ("\\", '"', "'", "/"):
+        x = f"replace({x}, {q(a)}, {q(chr(92) + a)})"
+    for code, letter in ((8, "b"), (12, "f"), (10, "n"), (13, "r"), (9, "t")):
+        x = f"replace({x}, chr({code}), {q(chr(92) + letter)})"
+    return x
+
+
+def sub(x: str, pattern: str) -> str:
+    return f"regexp_replace({x}, {q(pattern)}, '')"
+
+
+def label(x: str) -> str:
+    t = strip(x)
+    return f"({t} <> '' AND (({words(t)} <= 10 AND {upper(t)}) OR ({t} LIKE '%:' AND {words(t)} <= 12) OR {like(t, P.LEGAL_LABEL)}))"
+
+
 def item(x: str) -> str:
     return f"(NOT {like(strip(x), P.YEAR_START)} AND {like(strip(x), P.LIST_ITEM)})"
 

@@ -84,3 +84,9 @@ places AS (SELECT doc_id, coalesce(arg_max(text, ord) FILTER (WHERE oral), arg_m
 _K = f"lower({hidden(strip(r"regexp_replace(text, '\s+', ' ', 'g')"))})"
 REPEATED = f"""inside AS (SELECT doc_id, page_no, ord, {_K} AS key FROM outer_ WHERE {_T} <> '' AND NOT {like(_T, P.PAGE_MARKER)} AND NOT {like(_T, P.TRAILING_MARKER)} AND (y1 <= 792 * 0.08::DOUBLE OR y0 >= 792 * 0.92::DOUBLE)),
 repeated AS (SELECT doc_id, page_no, ord FROM inside WHERE (doc_id, key) IN (SELECT (doc_id, key) FROM inside GROUP BY doc_id, key HAVING count(DISTINCT page_no) >= 2))"""
+
+HTML = rf"""marked AS (SELECT *, row_number() OVER (PARTITION BY doc_id, kind, num ORDER BY n) AS again, coalesce(last_value(CASE WHEN kind IN ('para', 'body') THEN 1 WHEN kind = 'heading' THEN 0 END IGNORE NULLS) OVER (PARTITION BY doc_id ORDER BY n ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS open FROM merged),
+pieces AS (SELECT doc_id, n, CASE WHEN open = 1 AND kind <> 'quote' THEN '</div>' ELSE '' END || CASE kind WHEN 'heading' THEN '<h2>' || {escape("text")} || '</h2>' WHEN 'quote' THEN '<blockquote>' || {escape("text")} || '</blockquote>'
+  WHEN 'para' THEN '<div class="block" id="para-' || regexp_replace(num, '\D', '', 'g') || CASE WHEN again > 1 THEN '-' || again ELSE '' END || '"><p><span>' || num || '</span> ' || {escape("text")} || '</p>' ELSE '<div class="block"><p>' || {escape("text")} || '</p>' END AS piece FROM marked),
+ends AS (SELECT doc_id, arg_max(kind, n) AS last FROM merged WHERE kind <> 'quote' GROUP BY doc_id),
+html AS (SELECT p.doc_id, '<article>' || chr(10) || string_agg(piece, chr(10) ORDER BY n) || CASE WHEN any_value(e.last) IN ('para', 'body') THEN '</div>' ELSE '' END || chr(10) || '</article>' AS html FROM pieces p LEFT JOIN ends e ON p.doc_id = e.doc_id GROUP BY p.doc_id)"""
