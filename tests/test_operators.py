@@ -114,7 +114,7 @@ def test_judgment_metadata(spark):
     row = meta.extract(judgments.judgment_lines(docs)).first()
     assert (row.citation, row.neutral_citation_year, row.neutral_citation_number, row.is_division_bench) == ("2022:DHC:377-DB", 2022, 377, True)
     assert (row.case_number, row.judgment_date, row.reserved_on) == ("LPA-9/2020", "02.02.2022", "12.01.2022")
-    assert (row.appellant, row.respondent, row.bench) == ("ALPHA TRADERS & CO.", "BETA MILLS (P) LTD", ["E. KUMAR", "F. SINGH"])
+    assert (row.appellant, row.respondent, row.bench) == ("ALPHA TRADERS & CO.", "BETA MILLS (P) LTD.", ["E. KUMAR", "F. SINGH"])
     assert row.judgment_by == "E. KUMAR" and row.is_oral_judgment and row.via_video_conferencing
 
 
