@@ -65,6 +65,20 @@ def sample(docs: DataFrame, label: Column, per_class: int) -> DataFrame:
     return rows.join(ranked.select("label", "h"), ["label", "h"], "left_semi").dropDuplicates(["h"]).select("text", "label")
 
 
+def labelled_sample(docs: DataFrame, told: DataFrame, per_class: int) -> DataFrame:
+    """(text, label) of the per_class ids of each label in told (id, label; an id once) with the least hash.
+
+    The labels alone are ranked, in 64 parts first; only the chosen ids, a bounded number, meet the texts,
+    so no text is shuffled but theirs. Of several rows with an id, that with the least text hash counts.
+    """
+    rows = told.where("label IN (0, 1)").withColumn("h", F.xxhash64("id"))
+    part = Window.partitionBy("label", F.pmod("h", F.lit(64))).orderBy("h")
+    ranked = rows.withColumn("rank", F.row_number().over(part)).where(F.col("rank") <= per_class)
+    ranked = ranked.withColumn("rank", F.row_number().over(Window.partitionBy("label").orderBy("h"))).where(F.col("rank") <= per_class)
+    texts = docs.select(F.col("doc_id").cast("long").alias("id"), "text").where("text IS NOT NULL").join(F.broadcast(ranked.select("id", "label")), "id")
+    return texts.groupBy("id", "label").agg(F.min_by("text", F.xxhash64("text")).alias("text")).select("text", "label")
+
+
 def matrix(rows: DataFrame, features: Features, bits: list[int]) -> tuple[list[np.ndarray], list]:
     """Indicator features of (text, label): for each row its sorted columns; and the labels.
 

@@ -93,8 +93,7 @@ def train(docs: DataFrame, labels: DataFrame, learn: Column, per_class: int = PE
     """
     told = labels.where("doc_id IS NOT NULL AND quality IS NOT NULL").groupBy(F.col("doc_id").cast("long").alias("id")).agg(F.min("quality").alias("quality"))
     told = told.where(learn)
-    both = docs.select("doc_id", "text").join(told, F.col("doc_id").cast("long") == F.col("id"))
-    rows, y = _linear.matrix(_linear.sample(both, F.col("quality"), per_class), features, BITS)
+    rows, y = _linear.matrix(_linear.labelled_sample(docs, told.withColumnRenamed("quality", "label"), per_class), features, BITS)
     counts = dict(map(tuple, told.groupBy("quality").count().collect()))
     good = counts.get(1, 0) / max(sum(counts.values()), 1)
     if len(set(y)) < 2:
