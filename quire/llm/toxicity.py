@@ -94,8 +94,7 @@ def train(docs: DataFrame, labels: DataFrame, learn: Column | None = None, per_c
     most); None without rows of both classes."""
     told = labels.where("doc_id IS NOT NULL AND toxic IS NOT NULL").groupBy(F.col("doc_id").cast("long").alias("id")).agg(F.max("toxic").alias("toxic"))
     told = told if learn is None else told.where(learn)
-    both = docs.select("doc_id", "text").join(told, F.col("doc_id").cast("long") == F.col("id"))
-    rows, y = _linear.matrix(_linear.sample(both, F.col("toxic"), per_class), features, BITS)
+    rows, y = _linear.matrix(_linear.labelled_sample(docs, told.withColumnRenamed("toxic", "label"), per_class), features, BITS)
     toxic = np.where(np.array(y) == 1, 1, -1)
     if len(set(y)) < 2:
         return None
