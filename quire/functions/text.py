@@ -74,7 +74,7 @@ def line_breaks(x: Column | str) -> Column:
 
 def words(x: Column | str) -> Column:
     """Number of words between white space."""
-    return F.size(F.filter(F.split(_c(x), r"\s+"), lambda w: w != ""))
+    return F.regexp_count(_c(x), F.lit(r"\S+"))
 
 
 def is_upper(x: Column | str) -> Column:
