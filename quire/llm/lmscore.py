@@ -30,9 +30,9 @@ BACKOFF, MIN_COUNT = 0.4, 2
 TOP = 65_534
 START, OTHER = 65_534, 65_535
 #: Pairs that a partition of counts should hold.
-PAIRS = 2_000_000
+PAIRS = 1_000_000
 #: Different words that are gathered in a task before they are passed on.
-HELD = 1 << 21
+HELD = 1 << 19
 _U = np.uint64
 
 
@@ -105,7 +105,7 @@ def exploded(docs: DataFrame, top, buckets: int) -> DataFrame:
         known: Top = top.value
         for batch in batches:
             did, th = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-            for c in _text.chunks(batch.column(2), 4 * _text.CHUNK):
+            for c in _text.chunks(batch.column(2)):
                 h, ptr = hashes(c.data, c.offsets)
                 doc = _text.owners(ptr).astype(np.uint32)
                 rb = known.ranks(h)
@@ -183,7 +183,8 @@ def score(docs: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, held = top.value, []
         for b in batches:
-            for row in b.to_pylist():
+            for k in range(len(b)):  # one row's bytes at a time
+                row = {name: b.column(i)[k].as_py() for i, name in enumerate(b.schema.names)}
                 if held and row["bucket"] != held[0]["bucket"]:
                     yield from _bucket_scores(known, held)
                     held = []
