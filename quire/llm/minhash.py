@@ -1,0 +1,133 @@
+"""Near copies by the Jaccard similarity of their word shingles: MinHash bands propose pairs, the shingles decide.
+
+Texts with the same shingles equally often are one node. A node has BANDS keys, each of ROWS minima; nodes that
+share a key are a list. Two nodes of similarity s share none with probability (1 - s ** ROWS) ** BANDS, which
+is 3e-6 at 0.8. No list is cut: its first nodes are compared with all behind them, then the next ones, as long
+as a list has nodes that are neither compared nor connected already.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from . import _text
+from ._common import checkpointed, components
+
+BANDS, ROWS = 32, 5
+#: Nodes of each list that are compared with all others in the first round; later rounds go on to GROWTH times as many.
+FIRST, GROWTH = 4, 64
+#: Jaccard similarity of at least 0.8, in whole numbers: shared / (a + b - shared) >= 4 / 5.
+SIMILAR = "9 * size(array_intersect(a.shingles, b.shingles)) >= 4 * (size(a.shingles) + size(b.shingles))"
+
+_U = np.uint64
+_FLIP, _ODD = (_text.mix(np.arange(k, k + BANDS * ROWS, dtype=_U)) for k in (1, 1 << 20))
+_ODD |= _U(1)
+
+
+def chunk_shingles(data: np.ndarray, offsets: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of each document's shingles, and where each document begins, with the end."""
+    data = _text.LOWER[data]
+    w = _text.words(data, offsets)
+    h, n = _text.word_hashes(data, w), np.diff(w.ptr)
+    take = np.where(n >= size, n - size + 1, np.minimum(n, 1))  # fewer words: the whole sequence
+    ptr = np.concatenate([[0], np.cumsum(take)])
+    out = np.zeros(ptr[-1], _U)
+    for k in range(1, size + 1):
+        count = np.where(n >= size if k == size else n == k, take, 0)
+        if count.any():
+            within = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
+            out[np.repeat(ptr[:-1], count) + within] = _text.gram_hashes(h, k, k)[np.repeat(w.ptr[:-1], count) + within]
+    return out, ptr
+
+
+def chunk_keys(h: np.ndarray, ptr: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of each document a hash of all its shingles; the keys of those that have shingles, and which these are."""
+    full = np.flatnonzero(np.diff(ptr))
+    node, keys = np.zeros(len(ptr) - 1, _U), np.zeros((len(full), BANDS), _U)
+    if len(full):
+        starts, buffer = ptr[:-1][full], np.empty_like(h)
+        node[full] = _text.mix(np.add.reduceat(_text.mix(h), starts))
+        for k in range(BANDS * ROWS):
+            np.bitwise_xor(h, _FLIP[k], out=buffer)
+            np.multiply(buffer, _ODD[k], out=buffer)
+            band = k // ROWS
+            keys[:, band] = _text.mix((keys[:, band] + _U(band + 1)) * _ODD[0] + np.minimum.reduceat(buffer, starts))
+    return node, keys, full
+
+
+def nodes_of(docs: DataFrame, shingle: int) -> DataFrame:
+    """(doc_id, fp, th, keys) for each row; null and wordless texts have fp 0 and no keys. One pass, no shuffle."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for c in _text.chunks(b.column(1)):
+                node, keys, full = chunk_keys(*chunk_shingles(c.data, c.offsets, shingle))
+                has = np.zeros(len(node), np.int32)
+                has[full] = BANDS
+                lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(has)]).astype(np.int32)), pa.array(keys.ravel().view(np.int64)))
+                yield pa.RecordBatch.from_arrays([b.column(0)[c.rows.start : c.rows.stop].cast(pa.int64()), pa.array(node.view(np.int64)), b.column(2)[c.rows.start : c.rows.stop], lists], ["doc_id", "fp", "th", "keys"])
+
+    found = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string").alias("text"))
+    return found.withColumn("th", F.xxhash64(F.coalesce("text", F.lit("")))).mapInArrow(run, "doc_id long, fp long, th long, keys array<long>")
+
+
+def shingle_sets(texts: DataFrame, shingle: int) -> DataFrame:
+    """(id, shingles) of (id, text)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for c in _text.chunks(b.column(1)):
+                h, ptr = chunk_shingles(c.data, c.offsets, shingle)
+                lists = pa.ListArray.from_arrays(pa.array(ptr.astype(np.int32)), pa.array(h.view(np.int64)))
+                yield pa.RecordBatch.from_arrays([b.column(0)[c.rows.start : c.rows.stop], lists], ["id", "shingles"])
+
+    return texts.select("id", "text").mapInArrow(run, "id long, shingles array<long>").select("id", F.array_distinct("shingles").alias("shingles"))
+
+
+def proposed(lists: DataFrame, first: int, until: int) -> DataFrame:
+    """(u, v): the entries first..until of each list with all behind them, but for those of one class."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for ids, of in zip(*b.columns, strict=True):
+                ids, of = (np.asarray(x.values) for x in (ids, of))
+                for i in range(first, min(until, len(ids) - 1)):
+                    v = ids[i + 1 :][of[i + 1 :] != of[i]]
+                    if len(v):
+                        yield pa.RecordBatch.from_arrays([pa.array(np.full(len(v), ids[i])), pa.array(v)], ["u", "v"])
+
+    return lists.select("ids", "classes").mapInArrow(run, "u long, v long").distinct()
+
+
+def linked(docs: DataFrame, known: DataFrame, shingle: int) -> DataFrame:
+    """(node, component) of all nodes that are similar to another; known: nodes_of docs."""
+    nodes = known.groupBy("fp").agg(F.first("keys").alias("keys"), F.min(F.struct("doc_id", "th")).alias("text"))
+    nodes = checkpointed(nodes.select(F.col("fp").alias("id"), "keys", "text.*"))
+    lists = nodes.select(F.explode("keys").alias("key"), "id").groupBy("key").agg(F.sort_array(F.collect_list("id")).alias("ids")).where("size(ids) > 1")
+    lists = checkpointed(lists.groupBy("ids").agg(F.min("key").alias("key")))
+    met = lists.select(F.explode("ids").alias("id")).distinct().join(nodes.drop("keys"), "id").withColumnsRenamed({"doc_id": "d", "th": "t"})
+    texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string").alias("text")).withColumn("th", F.xxhash64(F.coalesce("text", F.lit(""))))
+    texts = texts.join(met, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("th") == F.col("t"))).dropDuplicates(["id"])
+    sets = checkpointed(shingle_sets(texts, shingle))
+    edges, open_, done = None, lists.withColumn("classes", F.col("ids")), 0
+    while True:
+        until = max(FIRST, done * GROWTH)
+        pairs = proposed(open_, done, until).join(sets.alias("a"), F.col("u") == F.col("a.id")).join(sets.alias("b"), F.col("v") == F.col("b.id"))
+        found = pairs.where(SIMILAR).select("u", "v")
+        edges = checkpointed(found if edges is None else edges.unionByName(found))
+        of, done = components(edges), until
+        rest = lists.where(F.size("ids") > done + 1)
+        if rest.isEmpty():
+            return of
+        rows = rest.select("key", F.explode("ids").alias("id")).join(of, F.col("id") == F.col("node"), "left")
+        rows = rows.groupBy("key").agg(F.sort_array(F.collect_list(F.struct("id", F.coalesce("component", "id").alias("class")))).alias("x"))
+        rows = rows.select("key", F.col("x.id").alias("ids"), F.col("x.class").alias("classes"))
+        open_ = checkpointed(rows.where(f"size(array_distinct(slice(classes, {done + 1}, size(classes)))) > 1"))
+        if open_.isEmpty():
+            return of
+        lists = lists.join(open_.select("key"), "key", "left_semi")

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from . import _text
+from . import _text, minhash
 from ._common import checkpointed, components, partitions
 
 SHINGLE = 5
@@ -215,9 +215,12 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, text: str = "text",
 def keep_first(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     """One row of docs for each component, with all its columns: that of its smallest doc_id, or a row
     without doc_id where it has no other. Of rows that share this doc_id the one with the smallest text
-    hash stays.
+    hash stays. Rows link if the Jaccard similarity of their shingles is at least 0.8, as three of 64 bits
+    would reach near-identical texts only; null and wordless texts link with each other.
     """
-    known, of = classes(docs, shingle, "text", "doc_id")
+    known = checkpointed(minhash.nodes_of(docs, shingle))
+    found = minhash.linked(docs, known, shingle)
+    of = known.select("fp").distinct().join(found, F.col("fp") == F.col("node"), "left").select("fp", F.coalesce("component", "fp").alias("class"))
     least = F.min(F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), "th"))
     copies = known.groupBy("doc_id", "th", "fp").agg(F.count("*").alias("n"))
     first = copies.join(of, "fp").groupBy("class").agg(F.min_by("n", F.struct(F.col("doc_id").isNull(), "doc_id", "th")).alias("n"), least.alias("first"))

@@ -1,0 +1,59 @@
+"""The pipeline's near copies against brute force over the same shingles."""
+
+import numpy as np
+import pytest
+
+from quire.llm import minhash, simhash
+
+SCHEMA = "doc_id long, text string, source string, _n int, component_id string"
+
+
+def plain_shingles(text, size=5):
+    w = (text or "").lower().split()
+    return {tuple(w[i : i + size]) for i in range(max(1, len(w) - size + 1))} if w else set()
+
+
+def plain_first(rows):
+    sets = {i: plain_shingles(t) for i, t in rows}
+    low = {i: i for i in sets}
+
+    def top(i):
+        while low[i] != i:
+            i = low[i]
+        return i
+
+    for a in sets:
+        for b in sets:
+            if a < b and (sets[a] == sets[b] or 5 * len(sets[a] & sets[b]) >= 4 * len(sets[a] | sets[b])):
+                x, y = sorted((top(a), top(b)))
+                low[y] = x
+    return sorted({top(i) for i in sets})
+
+
+def edited(words, rng, n):
+    words = list(words)
+    for i in rng.integers(0, len(words), n):
+        words[i] = f"new{rng.integers(1 << 30)}"
+    return words
+
+
+@pytest.mark.parametrize("first", [4, 1])
+def test_near_copies_against_brute_force(spark, monkeypatch, first):
+    monkeypatch.setattr(minhash, "FIRST", first)
+    rng = np.random.default_rng(5)
+    texts = []
+    for g in range(12):
+        base = [f"g{g}w{i}" for i in range(int(rng.integers(60, 300)))]
+        texts += [base] + [edited(base, rng, int(len(base) * rng.uniform(0, 0.06))) for _ in range(25 if g else 60)]
+    rows = [(i, " ".join(w)) for i, w in enumerate(texts)] + [(9000, None), (9001, ""), (9002, "a B"), (9003, "A b")]
+    rng.shuffle(rows)
+    rows = [(int(i), t) for i, t in rows]
+    kept = simhash.keep_first(spark.createDataFrame([(i, t, "s", 1, "c") for i, t in rows], SCHEMA))
+    assert sorted(r.doc_id for r in kept.collect()) == plain_first(rows)
+
+
+def test_similarity_of_exactly_four_fifths(spark):
+    w = [f"w{i}" for i in range(13)]  # 9 shingles; 8 of them are in all 10
+    cases = [(1, w), (2, [*w[1:], "x"]), (3, [f"v{i}" for i in range(12)]), (4, [f"v{i}" for i in range(14)])]  # 8 of 10, 8 of 10
+    kept = simhash.keep_first(spark.createDataFrame([(i, " ".join(x), "s", 1, "c") for i, x in cases], SCHEMA))
+    assert sorted(r.doc_id for r in kept.collect()) == [1, 3]
