@@ -17,8 +17,6 @@ TAILS = [
     ["Relied on (2005) 7 SCR 234; [2013] 1 SCC 641; 2019:DHC:55; 2020:DHC:99.", "4. Order vii of the Civil Code does not apply, nor the Motor Vehicles Rules.", "MARCH 3, 2020"],
     ["No authority was cited.", "N. PAUL, J. (ORAL)"],
 ]
-#: Lines of the document's own text between head and tail.
-BODY = 60
 PARTIES = ["Alpha Vs Beta", "Gamma v. Delta", "", "Epsilon vs Zeta vs Eta", "Theta"]
 
 
@@ -30,8 +28,8 @@ def judgment_lines(docs: DataFrame) -> DataFrame:
     """(doc_id, lines, source_case, source_party, source_date): nullable columns of a source record beside
     the lines. doc_id picks head and tail, so each combination occurs."""
     flat = F.regexp_replace("text", r"[\n\r]", " ")
-    n = F.least(F.lit(BODY), F.ceil(F.length("text") / 64)).cast("int")
-    body = F.when(n > 0, F.transform(F.sequence(F.lit(1), n), lambda i: F.trim(F.substring(flat, (i - 1) * 64 + 1, F.lit(64))))).otherwise(F.array().cast("array<string>"))
+    parts = F.regexp_extract_all(flat, F.lit("(?s).{1,64}"), F.lit(0))  # one pass, where substrings would each count from the start
+    body = F.coalesce(F.transform(parts, lambda x: F.trim(x)), F.array().cast("array<string>"))
     pick = lambda x, k: F.get(_literal(x), (F.col("doc_id") % k).cast("int"))
     lines = F.filter(F.concat(pick(HEADS, len(HEADS)), body, pick(TAILS, len(TAILS))), lambda x: x != "")
     return docs.select(
@@ -46,7 +44,7 @@ def _sql(x) -> str:
 
 LINES_SQL = f"""judgments AS MATERIALIZED (
   SELECT doc_id, list_filter(list_concat({_sql(HEADS)}[doc_id % {len(HEADS)} + 1],
-           list_transform(range(least({BODY}, ceil(length(text) / 64.0))::BIGINT), lambda i: trim(substr(translate(text, chr(10) || chr(13), '  '), i * 64 + 1, 64))),
+           list_transform(range(ceil(length(text) / 64.0)::BIGINT), lambda i: trim(substr(translate(text, chr(10) || chr(13), '  '), i * 64 + 1, 64))),
            {_sql(TAILS)}[doc_id % {len(TAILS)} + 1]), lambda x: x <> '') AS lines,
          CASE WHEN doc_id % 5 = 0 THEN 'LPA-9/2020 2022:DHC:377' END AS source_case, {_sql(PARTIES)}[doc_id % {len(PARTIES)} + 1] AS source_party, CASE WHEN doc_id % 3 = 0 THEN '-11.11.2011' END AS source_date
   FROM documents WHERE text IS NOT NULL)"""

@@ -152,3 +152,14 @@ def test_incremental_stream_writes_once(spark, tmp_path):
     run()
     got = spark.read.parquet(target)
     assert got.count() == got.select("doc_id").distinct().count() == 80
+
+
+def test_judgment_lines_hold_the_whole_text(spark):
+    text = "".join(chr(97 + i // 64 % 26) if i % 64 else "é" for i in range(64 * 300 + 7)) + " \nend 😀"
+    docs = spark.createDataFrame([(3, text), (4, ""), (5, " \n")], "doc_id int, text string")
+    got = {r.doc_id: r.lines for r in judgments.judgment_lines(docs).collect()}
+    flat = text.replace("\n", " ")
+    body = [flat[i : i + 64].strip(" ") for i in range(0, len(flat), 64)]
+    assert len(body) == 301
+    for i, own in ((3, body), (4, []), (5, [])):
+        assert got[i] == judgments.HEADS[i % 4] + own + judgments.TAILS[i % 3]
