@@ -103,5 +103,5 @@ def embed(name: Column, content: Column, flags: dict[str, bool]) -> Column:
     tags = {".css": ("<style>", "</style>", '<link rel="stylesheet" href="', '"/>'), ".js": ("<script>", "</script>", '<script src="', '"></script>')}
     for suffix, (a, b, c, d) in tags.items():
         out = F.when(ending == suffix, F.concat(F.lit(a), content, F.lit(b)) if flags.get(suffix, True) else F.concat(F.lit(c), name, F.lit(d))).otherwise(out)
-    image = F.concat(F.lit("data:image/"), F.substring(ending, 2, 9), F.lit(";base64,"), F.base64(content.cast("binary")))
+    image = F.concat(F.lit("data:image/"), F.substring(ending, 2, 9), F.lit(";base64,"), F.replace(F.base64(content.cast("binary")), F.lit("\r\n"), F.lit("")))
     return F.when(ending.isin(".png", ".jpg", ".svg"), image if flags.get("image", True) else name).otherwise(out)

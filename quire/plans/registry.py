@@ -601,16 +601,16 @@ def offset_drift(spark, d):
     return folds.offset_drift(lines(spark, d).select("doc_id", "page_no", "ord", gaps.alias("gaps")))
 
 
-@query("SELECT doc_id, '<span' || CASE WHEN doc_id % 3 > 0 OR doc_id % 4 > 0 THEN ' style=\"' || CASE WHEN doc_id % 3 > 0 THEN 'font-size:' || (12 + doc_id % 3) || 'px;' ELSE '' END || CASE WHEN doc_id % 4 > 0 THEN 'color:#' || lower(printf('%06x', doc_id % 4 * 255)) || ';' ELSE '' END || '\"' ELSE '' END || '>' || " + O.escape("left(text, 40)") + " || '</span>' AS html FROM documents WHERE text IS NOT NULL")
+@query("SELECT doc_id, '<span' || CASE WHEN doc_id % 3 > 0 OR doc_id % 4 > 0 THEN ' style=\"' || CASE WHEN doc_id % 3 > 0 THEN 'font-size:' || (12 + doc_id % 3) || 'px;' ELSE '' END || CASE WHEN doc_id % 4 > 0 THEN 'color:#' || lower(printf('%06x', doc_id % 4 * 255)) || ';' ELSE '' END || '\"' ELSE '' END || '>' || " + O.escape("text") + " || '</span>' AS html FROM documents WHERE text IS NOT NULL")
 def span_html(spark, d):
-    spans = F.array(F.struct(F.substring("text", 1, 40).alias("text"), (12 + F.col("doc_id") % 3).alias("size"), (F.col("doc_id") % 4 * 255).alias("color")))
+    spans = F.array(F.struct(F.col("text"), (12 + F.col("doc_id") % 3).alias("size"), (F.col("doc_id") % 4 * 255).alias("color")))
     return docs(spark, d, "doc_id", "text").where("text IS NOT NULL").select("doc_id", render.span_html(spans).alias("html"))
 
 
-@query("SELECT doc_id, CASE doc_id % 5 WHEN 0 THEN '<style>' || left(text, 9) || '</style>' WHEN 1 THEN '<script src=\"a.js\"></script>' WHEN 2 THEN 'data:image/png;base64,' || base64(encode(left(text, 9))) END AS tag FROM documents WHERE text IS NOT NULL")
+@query("SELECT doc_id, CASE doc_id % 5 WHEN 0 THEN '<style>' || text || '</style>' WHEN 1 THEN '<script src=\"a.js\"></script>' WHEN 2 THEN 'data:image/png;base64,' || base64(encode(text)) END AS tag FROM documents WHERE text IS NOT NULL")
 def embed_or_link(spark, d):
     name = F.get(F.array(*map(F.lit, ("x.css", "a.js", "b.png", "c.woff", "none"))), (F.col("doc_id") % 5).cast("int"))
-    return docs(spark, d, "doc_id", "text").where("text IS NOT NULL").select("doc_id", render.embed(name, F.substring("text", 1, 9), {".js": False}).alias("tag"))
+    return docs(spark, d, "doc_id", "text").where("text IS NOT NULL").select("doc_id", render.embed(name, F.col("text"), {".js": False}).alias("tag"))
 
 
 @query("SELECT doc_id, coalesce(list_min(list_filter([CASE WHEN doc_id % 3 > 0 THEN doc_id % 3 * 0.5 END, CASE WHEN doc_id % 4 > 0 THEN doc_id / 612.0 END, CASE WHEN doc_id % 5 > 0 THEN doc_id / 792.0 END], lambda x: x > 0.000001)), 1)::DOUBLE AS zoom, least(144.0, 648000.0 / greatest(612.0, doc_id * 10))::DOUBLE AS dpi, doc_id % 8 IN (0, 2, 4, 6) AS fill, doc_id % 8 IN (1, 2, 5, 6) AS stroke FROM documents".replace("doc_id / 612.0", "doc_id / 612.0::DOUBLE").replace("doc_id / 792.0", "doc_id / 792.0::DOUBLE").replace("648000.0", "648000.0::DOUBLE"))

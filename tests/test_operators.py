@@ -1,11 +1,15 @@
 """Unit vectors, folds against plain Python, invariants, incremental runs."""
 
+import base64
+import html
+
 import pytest
 from pyspark.sql import functions as F
 
 from quire.functions import text as T
 from quire.operators import blocks, folds, margins, meta, records, regions, render, segments, stats
 from quire.operators import predicates as is_
+from quire.plans import registry
 from quire.sources import judgments, layout
 from quire.streaming import incremental
 
@@ -163,3 +167,25 @@ def test_judgment_lines_hold_the_whole_text(spark):
     assert len(body) == 301
     for i, own in ((3, body), (4, []), (5, [])):
         assert got[i] == judgments.HEADS[i % 4] + own + judgments.TAILS[i % 3]
+
+
+@pytest.fixture
+def long_texts(spark, tmp_path):
+    """Documents whose texts go on behind all former prefixes."""
+    rows = [(i, "plain words " * 20 + f"<é & \"{i}\">") for i in range(20)]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    return str(tmp_path), dict(rows)
+
+
+def test_span_html_holds_the_whole_text(spark, long_texts):
+    for r in registry.span_html(spark, long_texts[0]).collect():
+        assert r.html.endswith(f">{html.escape(long_texts[1][r.doc_id])}</span>")
+
+
+def test_embed_holds_the_whole_text(spark, long_texts):
+    tags = {r.doc_id: r.tag for r in registry.embed_or_link(spark, long_texts[0]).collect()}
+    for i, text in long_texts[1].items():
+        if i % 5 == 0:
+            assert tags[i] == f"<style>{text}</style>"
+        if i % 5 == 2:
+            assert tags[i] == "data:image/png;base64," + base64.b64encode(text.encode()).decode()
