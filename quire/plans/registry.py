@@ -361,12 +361,12 @@ def list_blocks(spark, d):
 
 # Regions
 
-REGIONS = "regions AS (SELECT doc_id, (1 + k % 2)::INT AS page_no, (60 + 40 * k)::DOUBLE AS x0, (90 + 150 * k + doc_id % 50)::DOUBLE AS y0, (260 + 40 * k)::DOUBLE AS x1, (160 + 150 * k + doc_id % 50)::DOUBLE AS y1 FROM (SELECT doc_id, unnest(range(3)) AS k FROM documents WHERE doc_id % 3 <> 1))"
+REGIONS = "regions AS (SELECT doc_id, (1 + k % 2)::INT AS page_no, (60 + 40 * k)::DOUBLE AS x0, (90 + 150 * k + doc_id % 50)::DOUBLE AS y0, (260 + 40 * k)::DOUBLE AS x1, (160 + 150 * k + doc_id % 50)::DOUBLE AS y1 FROM (SELECT doc_id, unnest(range(3)) AS k FROM documents))"
 
 
 def regions(spark, d):
     k = F.explode(F.sequence(F.lit(0), F.lit(2))).alias("k")
-    rows = docs(spark, d, "doc_id").where("doc_id % 3 <> 1").select("doc_id", k)
+    rows = docs(spark, d, "doc_id").select("doc_id", k)
     return rows.selectExpr("doc_id", "1 + k % 2 AS page_no", "double(60 + 40 * k) AS x0", "double(90 + 150 * k + doc_id % 50) AS y0", "double(260 + 40 * k) AS x1", "double(160 + 150 * k + doc_id % 50) AS y1")
 
 

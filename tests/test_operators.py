@@ -189,3 +189,16 @@ def test_embed_holds_the_whole_text(spark, long_texts):
             assert tags[i] == f"<style>{text}</style>"
         if i % 5 == 2:
             assert tags[i] == "data:image/png;base64," + base64.b64encode(text.encode()).decode()
+
+
+def test_regions_are_of_every_document(spark, long_texts):
+    found = registry.regions(spark, long_texts[0]).groupBy("doc_id").count().collect()
+    assert {r.doc_id: r["count"] for r in found} == dict.fromkeys(range(20), 3)
+
+
+def test_lines_of_a_document_without_regions_stay(spark):
+    box = "page_no int, {} x0 double, y0 double, x1 double, y1 double"
+    rows = spark.createDataFrame([(i, 1, o, 10.0, 20.0 * o, 90.0, 20.0 * o + 12) for i in (1, 2) for o in (1, 2)], "doc_id int, " + box.format("ord int,"))
+    reserved = spark.createDataFrame([(2, 1, 0.0, 0.0, 50.0, 35.0)], "doc_id int, " + box.format(""))
+    found = margins.overlapping_regions(rows, reserved).collect()
+    assert sorted((r.doc_id, r.ord) for r in found) == [(1, 1), (1, 2), (2, 2)]
