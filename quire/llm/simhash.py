@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from . import _text, minhash
+from . import _text, simwide
 from ._common import checkpointed, components, partitions
 
 SHINGLE = 5
@@ -218,8 +218,8 @@ def keep_first(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     hash stays. Rows link if the Jaccard similarity of their shingles is at least 0.8, as three of 64 bits
     would reach near-identical texts only; null and wordless texts link with each other.
     """
-    known = checkpointed(minhash.nodes_of(docs, shingle))
-    found = minhash.linked(docs, known, shingle)
+    known = checkpointed(simwide.nodes_of(docs, shingle))
+    found = simwide.linked(docs, known, shingle)
     of = known.select("fp").distinct().join(found, F.col("fp") == F.col("node"), "left").select("fp", F.coalesce("component", "fp").alias("class"))
     least = F.min(F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), "th"))
     copies = known.groupBy("doc_id", "th", "fp").agg(F.count("*").alias("n"))

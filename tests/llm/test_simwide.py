@@ -1,9 +1,10 @@
 """The pipeline's near copies against brute force over the same shingles."""
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
-from quire.llm import minhash, simhash
+from quire.llm import simhash, simwide
 
 SCHEMA = "doc_id long, text string, source string, _n int, component_id string"
 
@@ -37,9 +38,10 @@ def edited(words, rng, n):
     return words
 
 
-@pytest.mark.parametrize("first", [4, 1])
-def test_near_copies_against_brute_force(spark, monkeypatch, first):
-    monkeypatch.setattr(minhash, "FIRST", first)
+@pytest.mark.parametrize("block", [1024, 8])
+def test_near_copies_against_brute_force(spark, monkeypatch, block):
+    monkeypatch.setattr(simwide, "BLOCK", block)
+    monkeypatch.setattr(simwide, "LEADERS", block // 4)
     rng = np.random.default_rng(5)
     texts = []
     for g in range(12):
@@ -52,6 +54,38 @@ def test_near_copies_against_brute_force(spark, monkeypatch, first):
     assert sorted(r.doc_id for r in kept.collect()) == plain_first(rows)
 
 
+def test_recall_of_links_between_different_texts(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    sets = {}
+    for r in docs.collect():
+        if shingles := plain_shingles(r.text):
+            sets.setdefault(frozenset(shingles), r.doc_id)
+    sets, by_shingle = {i: s for s, i in sets.items()}, {}
+    for i, s in sets.items():
+        for x in s:
+            by_shingle.setdefault(x, []).append(i)
+    pairs = {(a, b) for ids in by_shingle.values() for a in ids for b in ids if a < b}
+    alike = [(a, b) for a, b in pairs if 5 * len(sets[a] & sets[b]) >= 4 * len(sets[a] | sets[b])]
+    kept = {r.doc_id for r in simhash.keep_first(docs).collect()}
+    assert len(alike) >= 5 and sum(b not in kept for a, b in alike) >= 0.9 * len(alike)
+    assert set(sets) - kept <= {b for _, b in alike}  # nothing else goes
+
+
+def test_streamed_blocks_hold_each_list_once():
+    key = np.repeat(np.arange(40, dtype=np.int32), np.arange(40) % 7 * 3 % 11 + 1)
+    ids = np.arange(len(key))
+    batches = [pa.RecordBatch.from_arrays([pa.array(key[i : i + 5]), pa.array(ids[i : i + 5])], ["key", "id"]) for i in range(0, len(key), 5)]
+    simwide_block, simwide.BLOCK = simwide.BLOCK, 4
+    try:
+        rows = [r for b in simwide._blocks(iter(batches)) for r in b.to_pylist()]
+    finally:
+        simwide.BLOCK = simwide_block
+    for k in range(40):
+        own = ids[key == k].tolist()
+        found = [r["ids"] for r in sorted((r for r in rows if r["key"] == k), key=lambda r: r["block"])]
+        assert found == [] if len(own) < 2 else found[0] == own[:4] and sorted({x for f in found for x in f}) == own
+
+
 def test_similarity_of_exactly_four_fifths(spark):
     w = [f"w{i}" for i in range(13)]  # 9 shingles; 8 of them are in all 10
     cases = [(1, w), (2, [*w[1:], "x"]), (3, [f"v{i}" for i in range(12)]), (4, [f"v{i}" for i in range(14)])]  # 8 of 10, 8 of 10
