@@ -6,7 +6,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import _text
@@ -52,37 +52,50 @@ def present(pairs: tuple[np.ndarray, np.ndarray], rows: int, bits: int) -> tuple
     return np.concatenate(of), np.concatenate(bucket)
 
 
+#: Hashes are compared with shares of this range.
+_RANGE = 1 << 40
+
+
+def _chosen(key: Column, label: Column, counts: dict, per_class: int) -> Column:
+    """Whether key, a hash, is under the threshold that about per_class of its label's rows are under."""
+    under = F.lit(False)
+    for value, n in counts.items():
+        under = F.when(label == F.lit(value), F.pmod(key, F.lit(_RANGE)) < F.lit(min(_RANGE, _RANGE * per_class // n))).otherwise(under)
+    return under
+
+
 def sample(docs: DataFrame, label: Column, per_class: int) -> DataFrame:
-    """(text, label): of each label the per_class rows with the least hash of doc_id and text.
+    """(text, label): about per_class rows of each label, those whose hash of doc_id and text is under a
+    threshold that follows from the label's count; all rows of a label that has no more.
 
-    Hashes alone are ranked, a label's in 64 parts first so that no task ranks them all; then the texts
-    of the chosen ones are fetched. Rows without a label or a text are left out.
+    Nothing is ranked, and no text but the chosen ones is shuffled; the labels' counts, a row for each
+    label, go to the driver. Rows without a label or a text are left out; repeated rows count once.
     """
-    rows = docs.where("text IS NOT NULL").select("text", label.alias("label"), F.xxhash64("doc_id", "text").alias("h")).where("label IS NOT NULL")
-    part = Window.partitionBy("label", F.pmod("h", F.lit(64))).orderBy("h")
-    ranked = rows.select("label", "h").distinct().withColumn("rank", F.row_number().over(part)).where(F.col("rank") <= per_class)
-    ranked = ranked.withColumn("rank", F.row_number().over(Window.partitionBy("label").orderBy("h"))).where(F.col("rank") <= per_class)
-    return rows.join(ranked.select("label", "h"), ["label", "h"], "left_semi").dropDuplicates(["h"]).select("text", "label")
+    told = docs.where("text IS NOT NULL").withColumn("_label", label).where("_label IS NOT NULL")
+    counts = dict(map(tuple, told.groupBy("_label").count().collect()))
+    rows = told.select("text", F.col("_label").alias("label"), F.xxhash64("doc_id", "text").alias("h"))
+    return rows.where(_chosen(F.col("h"), F.col("label"), counts, per_class)).dropDuplicates(["h"]).select("text", "label")
 
 
-def labelled_sample(docs: DataFrame, told: DataFrame, per_class: int) -> DataFrame:
-    """(text, label) of the per_class ids of each label in told (id, label; an id once) with the least hash.
+def labelled_sample(docs: DataFrame, told: DataFrame, per_class: int) -> tuple[DataFrame, dict]:
+    """(text, code) of about per_class ids of each label in told (id, label, code; an id once), chosen as in
+    sample(); and how many ids each label has.
 
-    The labels alone are ranked, in 64 parts first; only the chosen ids, a bounded number, meet the texts,
-    so no text is shuffled but theirs. Of several rows with an id, that with the least text hash counts.
+    Only the chosen ids, about 2 * per_class, meet the texts, so no text is shuffled but theirs. Of several
+    rows with an id, that with the least text hash counts.
     """
-    rows = told.where("label IN (0, 1)").withColumn("h", F.xxhash64("id"))
-    part = Window.partitionBy("label", F.pmod("h", F.lit(64))).orderBy("h")
-    ranked = rows.withColumn("rank", F.row_number().over(part)).where(F.col("rank") <= per_class)
-    ranked = ranked.withColumn("rank", F.row_number().over(Window.partitionBy("label").orderBy("h"))).where(F.col("rank") <= per_class)
-    texts = docs.select(F.col("doc_id").cast("long").alias("id"), "text").where("text IS NOT NULL").join(F.broadcast(ranked.select("id", "label")), "id")
-    return texts.groupBy("id", "label").agg(F.min_by("text", F.xxhash64("text")).alias("text")).select("text", "label")
+    rows = told.where("label IN (0, 1)")
+    counts = dict(map(tuple, rows.groupBy("label").count().collect()))
+    few = rows.where(_chosen(F.xxhash64("id"), F.col("label"), counts, per_class)).select("id", "code")
+    texts = docs.select(F.col("doc_id").cast("long").alias("id"), "text").where("text IS NOT NULL").join(F.broadcast(few), "id")
+    return texts.groupBy("id", "code").agg(F.min_by("text", F.xxhash64("text")).alias("text")).select("text", "code"), counts
 
 
 def matrix(rows: DataFrame, features: Features, bits: list[int]) -> tuple[list[np.ndarray], list]:
     """Indicator features of (text, label): for each row its sorted columns; and the labels.
 
-    Feature groups lie one after the other. The rows are a bounded sample, so they fit the driver.
+    Feature groups lie one after the other. The rows are a bounded sample, so they fit the driver: a row
+    has one number for each different n-gram of its text, which is at most the feature groups' width.
     """
     start = np.concatenate([[0], np.cumsum([1 << b for b in bits])])
 
@@ -98,7 +111,7 @@ def matrix(rows: DataFrame, features: Features, bits: list[int]) -> tuple[list[n
                 lists = pa.ListArray.from_arrays(pa.array(ptr.astype(np.int32)), pa.array(column[order].astype(np.int32)))
                 yield pa.RecordBatch.from_arrays([lists, b.column(1).slice(c.rows.start, n)], ["columns", "label"])
 
-    found = rows.mapInArrow(run, f"columns array<int>, label {rows.schema['label'].dataType.simpleString()}").toArrow()
+    found = rows.mapInArrow(run, f"columns array<int>, label {rows.schema[1].dataType.simpleString()}").toArrow()
     lists = found.column("columns").combine_chunks()
     flat, ptr = lists.flatten().to_numpy(), np.concatenate([[0], np.cumsum(lists.value_lengths().to_numpy())])
     order = np.argsort([hash_of(flat[a:b]) for a, b in zip(ptr[:-1], ptr[1:], strict=True)], kind="stable")  # reruns agree

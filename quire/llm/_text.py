@@ -15,7 +15,7 @@ import pyarrow as pa
 
 WORD = r"[^\x20\x09-\x0D]+"
 #: Bytes of text that are scanned at once; one longer document makes a chunk of its own.
-CHUNK = 1 << 21
+CHUNK = 1 << 19
 
 SEPARATOR = np.zeros(256, bool)
 SEPARATOR[[9, 10, 11, 12, 13, 32]] = True

@@ -27,6 +27,8 @@ Q = 10
 EDITS = 0.08
 #: Characters of the items that are held against the documents at once.
 BLOCK = 1 << 22
+#: Pairs of a place in a text and a place in an item that are formed at once.
+PAIRS = 1 << 20
 
 _U = np.uint64
 _FOLD = np.arange(128, dtype=np.uint32)
@@ -134,26 +136,22 @@ class Index:
         of = np.searchsorted(offsets, at, "right") - 1
         on = at + Q <= offsets[of + 1]
         at, found, of = at[on], found[on], of[on]
-        n = self.counts[found]
-        pick = np.repeat(self.first[found] - (np.cumsum(n) - n), n) + np.arange(n.sum())
-        item, place = self.places[:, pick]
-        at, of = np.repeat(at, n), np.repeat(of, n)
-        diagonal = at - offsets[of] - place
-        half = self.most[item] + 1  # bands are two halves wide
-        shift = diagonal + len(points)  # not negative
+        n, half_of = self.counts[found], self.most + 1  # bands are two halves wide
+        shift = len(points) + max(map(len, self.items))  # a diagonal plus this isn't negative, but for the first half band
+        wide = len(points) + shift + 2
         best: dict[tuple[int, int], tuple[int, int, int]] = {}
+        sought: set[tuple[int, int]] = set()
         for overlap in (0, 1):
-            band = (shift // half - overlap) // 2
-            wide = int(band.max(initial=0)) + 1
-            key, size = np.unique((of * len(self.items) + item) * wide + band, return_counts=True)
+            key, size = self._bands(at, found, of, n, offsets, half_of, wide, shift, overlap)
             enough = size >= self.least[key // wide % len(self.items)]
             for k in key[enough].tolist():
                 d, i, b = k // wide // len(self.items), k // wide % len(self.items), k % wide
                 e = int(self.most[i])
-                low = (2 * b + overlap) * (e + 1) - len(points)
+                low = (2 * (b - 1) + overlap) * (e + 1) - shift
                 text = points[offsets[d] : offsets[d + 1]]
-                if (d, i) not in best and (start := verbatim(self.items[i], text)) is not None:
+                if (d, i) not in sought and (start := verbatim(self.items[i], text)) is not None:
                     best[d, i] = 0, start, start + len(self.items[i])
+                sought.add((d, i))
                 if (d, i) in best and not best[d, i][0]:
                     continue
                 hit = aligned(self.items[i], text, low - e, low + 2 * (e + 1) - 1 + e, e)
@@ -163,6 +161,32 @@ class Index:
             yield (d, i, *hit)
 
 
+    def _bands(self, at, found, of, n, offsets, half_of, wide: int, shift: int, overlap: int) -> tuple[np.ndarray, np.ndarray]:
+        """(band, shared Q-grams), a band told by document, item and place. at: places in the text, found:
+        their Q-grams, each of which is at n places of items. A Q-gram that is often in the text and in items
+        has as many pairs as the product, so pairs are formed and tallied PAIRS at a time."""
+        keys, sizes = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        upto = np.cumsum(n)
+        cuts = np.unique(np.concatenate([[0], np.searchsorted(upto, np.arange(PAIRS, upto[-1] if len(upto) else 0, PAIRS)), [len(n)]]))
+        for lo, hi in zip(cuts[:-1], cuts[1:], strict=True):
+            m = n[lo:hi]
+            pick = np.repeat(self.first[found[lo:hi]] - (np.cumsum(m) - m), m) + np.arange(m.sum())
+            item, place = self.places[:, pick]
+            own, text = np.repeat(at[lo:hi], m), np.repeat(of[lo:hi], m)
+            band = ((own - offsets[text] - place + shift) // half_of[item] - overlap) // 2 + 1
+            key, size = np.unique((text * len(self.items) + item) * wide + band, return_counts=True)
+            keys.append(key)
+            sizes.append(size)
+            if sum(map(len, keys)) > PAIRS:
+                keys, sizes = ([x] for x in _summed(keys, sizes))
+        return _summed(keys, sizes)
+
+
+def _summed(keys: list[np.ndarray], sizes: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    key, inverse = np.unique(np.concatenate(keys), return_inverse=True)
+    return key, np.bincount(inverse, np.concatenate(sizes), len(key)).astype(np.int64)
+
+
 def blocks(benchmark: DataFrame) -> Iterator[Index]:
     """Indexes of all items, each of BLOCK characters at most or of one item; they arrive in turn."""
     ids, texts, size = [], [], 0

@@ -31,6 +31,8 @@ TOP = 65_534
 START, OTHER = 65_534, 65_535
 #: Pairs that a partition of counts should hold.
 PAIRS = 1_000_000
+#: Bytes of text whose pairs are packed together; small rows would be many times as many.
+PACKED = 1 << 21
 #: Different words that are gathered in a task before they are passed on.
 HELD = 1 << 19
 _U = np.uint64
@@ -105,7 +107,7 @@ def exploded(docs: DataFrame, top, buckets: int) -> DataFrame:
         known: Top = top.value
         for batch in batches:
             did, th = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-            for c in _text.chunks(batch.column(2)):
+            for c in _text.chunks(batch.column(2), PACKED):
                 h, ptr = hashes(c.data, c.offsets)
                 doc = _text.owners(ptr).astype(np.uint32)
                 rb = known.ranks(h)

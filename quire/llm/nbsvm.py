@@ -91,10 +91,9 @@ def train(docs: DataFrame, labels: DataFrame, learn: Column, per_class: int = PE
     A doc_id with several labels has the least. Without rows of both classes: the score of every text, a
     constant.
     """
-    told = labels.where("doc_id IS NOT NULL AND quality IS NOT NULL").groupBy(F.col("doc_id").cast("long").alias("id")).agg(F.min("quality").alias("quality"))
-    told = told.where(learn)
-    rows, y = _linear.matrix(_linear.labelled_sample(docs, told.withColumnRenamed("quality", "label"), per_class), features, BITS)
-    counts = dict(map(tuple, told.groupBy("quality").count().collect()))
+    told = labels.where("doc_id IS NOT NULL AND quality IS NOT NULL").groupBy(F.col("doc_id").cast("long").alias("id")).agg(F.min("quality").alias("label"))
+    found, counts = _linear.labelled_sample(docs, told.where(learn).withColumn("code", F.col("label")), per_class)
+    rows, y = _linear.matrix(found, features, BITS)
     good = counts.get(1, 0) / max(sum(counts.values()), 1)
     if len(set(y)) < 2:
         return good if counts else 0.5

@@ -1,6 +1,7 @@
 """Toxicity by classifier chains.
 
-Categories are predicted one after the other. Each has a linear model (hinge loss, dual coordinate
+Categories are predicted one after the other: whether a text is labelled poor, then whether it is labelled
+toxic, which is the answer. Each has a linear model (hinge loss, dual coordinate
 descent) over word n-gram indicators scaled by the category's log-count ratios, and over the
 probabilities of the categories before it. In training these are out-of-fold: each row's come from models
 that haven't seen its fold, so later models meet probabilities as unsure as those of new texts.
@@ -21,9 +22,10 @@ from . import _linear, _text
 PER_CLASS = 3000
 BITS = [18, 18]
 FOLDS = 5
-#: An indicator with at least this log-count ratio marks toxic texts; see graded().
-MARKER = 2.0
-CATEGORIES = ("toxic", "severe")
+#: Indicators with a smaller log-count ratio are left out; in a long text they'd outweigh the few that tell.
+TELLING = 1.5
+#: In the chain's order; the last one is the answer. Each is a label of its own.
+CATEGORIES = ("poor", "toxic")
 #: Letters and digits in lower case; any other ASCII byte parts words.
 _WORDS = np.full(256, 32, np.uint8)
 _WORDS[48:58], _WORDS[97:123], _WORDS[128:] = np.arange(48, 58), np.arange(97, 123), np.arange(128, 256)
@@ -35,18 +37,18 @@ def features(data: np.ndarray, offsets: np.ndarray) -> list[tuple[np.ndarray, np
     return [_linear.word_grams(data, offsets, n + 1, b) for n, b in enumerate(BITS)]
 
 
-def graded(rows: list[np.ndarray], toxic: np.ndarray) -> dict[str, np.ndarray]:
-    """Categories (1 or -1) from the one that is labelled: severe texts are the labelled toxic ones with
-    at least as many marker words as half of the toxic ones have."""
-    ratios = _linear.log_ratios(rows, toxic, sum(1 << b for b in BITS))
-    marks = np.array([(ratios[r] > MARKER).sum() for r in rows])
-    least = max(np.median(marks[toxic == 1]), 1) if (toxic == 1).any() else 1
-    return {"toxic": toxic, "severe": np.where((toxic == 1) & (marks >= least), 1, -1)}
+def best_cut(p: np.ndarray, y: np.ndarray, weight: np.ndarray) -> float:
+    """The probability, at most 0.5, from which on calling texts positive has the largest F1 measure."""
+    order = np.argsort(-p, kind="stable")
+    hit, called = np.cumsum((weight * (y == 1))[order]), np.cumsum(weight[order])
+    f1 = 2 * hit / (called + (weight * (y == 1)).sum())
+    return float(min(p[order][f1.argmax()], 0.5))
 
 
 class Chain:
     def __init__(self, rows: list[np.ndarray], categories: dict[str, np.ndarray], prior: dict[str, float]):
-        """prior: each category's share among all labelled rows."""
+        """prior: each category's share among all labelled rows. cut: from which probability of the last
+        category on a text counts as of it, chosen on the out-of-fold predictions."""
         self.width = sum(1 << b for b in BITS)
         self.names = list(categories)
         self.links = []
@@ -62,7 +64,9 @@ class Chain:
             weight = np.where(y == 1, prior[name] / up, (1 - prior[name]) / max(len(y) - up, 1)) * len(y)
             slope, offset = _linear.platt(held, y, weight)
             self.links.append((*self.fit(rows, earlier, y), slope, offset))
-            earlier = np.column_stack([earlier, 2 * _linear.sigmoid(slope * held + offset) - 1])
+            chance = _linear.sigmoid(slope * held + offset)
+            self.cut = best_cut(chance, y, weight)
+            earlier = np.column_stack([earlier, 2 * chance - 1])
 
     def _inputs(self, rows: list[np.ndarray], earlier: np.ndarray, values: np.ndarray) -> tuple[list[np.ndarray], list[np.ndarray]]:
         more = np.arange(self.width, self.width + earlier.shape[1])
@@ -71,7 +75,7 @@ class Chain:
 
     def fit(self, rows: list[np.ndarray], earlier: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         values = _linear.log_ratios(rows, y, self.width)
-        values[np.abs(values) < 0.5] = 0.0
+        values[np.abs(values) < TELLING] = 0.0
         return values, _linear.hinge(*self._inputs(rows, earlier, values), self.width + earlier.shape[1], y, np.ones(len(y)))
 
     def margins(self, rows: list[np.ndarray], earlier: np.ndarray, values: np.ndarray, w: np.ndarray) -> np.ndarray:
@@ -90,25 +94,30 @@ class Chain:
 
 
 def train(docs: DataFrame, labels: DataFrame, learn: Column | None = None, per_class: int = PER_CLASS) -> Chain | None:
-    """A chain from texts and labels.toxic of the rows for which learn holds (of a doc_id's labels, the
-    most); None without rows of both classes."""
-    told = labels.where("doc_id IS NOT NULL AND toxic IS NOT NULL").groupBy(F.col("doc_id").cast("long").alias("id")).agg(F.max("toxic").alias("toxic"))
+    """A chain from texts and labels.quality (poor: 0) and labels.toxic of the rows for which learn holds.
+
+    Of a doc_id's labels the worst count; a null quality counts as not poor, a null toxic as unlabelled.
+    None without rows of both classes.
+    """
+    told = labels.where("doc_id IS NOT NULL AND toxic IS NOT NULL").groupBy(F.col("doc_id").cast("long").alias("id"))
+    told = told.agg(F.max("toxic").alias("label"), F.min(F.coalesce("quality", F.lit(1))).alias("quality"))
     told = told if learn is None else told.where(learn)
-    rows, y = _linear.matrix(_linear.labelled_sample(docs, told.withColumnRenamed("toxic", "label"), per_class), features, BITS)
-    toxic = np.where(np.array(y) == 1, 1, -1)
-    if len(set(y)) < 2:
+    poor = (F.col("quality") == 0).cast("int")
+    found, counts = _linear.labelled_sample(docs, told.withColumn("code", F.col("label") + 2 * poor), per_class)
+    rows, code = _linear.matrix(found, features, BITS)
+    code = np.array(code, np.int64)
+    if len(set(code & 1)) < 2:
         return None
-    counts = dict(map(tuple, told.groupBy("toxic").count().collect()))
-    share = counts.get(1, 0) / sum(counts.values())
-    categories = graded(rows, toxic)
-    severe = (categories["severe"] == 1).sum() / max((toxic == 1).sum(), 1)
-    return Chain(rows, categories, {"toxic": share, "severe": share * severe})
+    share = told.where("label IN (0, 1)").agg(F.avg(poor)).first()[0]
+    prior = {"poor": share, "toxic": counts.get(1, 0) / sum(counts.values())}
+    return Chain(rows, {"poor": np.where(code & 2, 1, -1), "toxic": np.where(code & 1, 1, -1)}, prior)
 
 
 def predict(docs: DataFrame, chain: Chain | None) -> DataFrame:
-    """(doc_id, p_toxic, p_severe, toxic) for every row of docs, from text alone.
+    """(doc_id, p_poor, p_toxic, toxic) for every row of docs, repeated ones too, from text alone.
 
-    toxic is 1 if p_toxic is 0.5 or more. A null text counts as empty. Without a chain all are 0.
+    toxic is 1 if p_toxic reaches the chain's cut, 0.5 at most. A null text counts as empty, a null doc_id
+    stays null; columns other than doc_id and text are not read. Without a chain all are 0.
     """
     shared = docs.sparkSession.sparkContext.broadcast(chain)
 
@@ -118,7 +127,7 @@ def predict(docs: DataFrame, chain: Chain | None) -> DataFrame:
             for c in _text.chunks(b.column(1)):
                 n = len(c.offsets) - 1
                 p = np.zeros((len(CATEGORIES), n)) if found is None else found.predict(c.data, c.offsets)
-                toxic = pa.array((p[0] >= 0.5).astype(np.int32))
+                toxic = pa.array((p[-1] >= (1.0 if found is None else found.cut)).astype(np.int32))
                 yield pa.RecordBatch.from_arrays([b.column(0).slice(c.rows.start, n), *map(pa.array, p), toxic], ["doc_id", *(f"p_{x}" for x in CATEGORIES), "toxic"])
 
     schema = "doc_id long, " + ", ".join(f"p_{x} double" for x in CATEGORIES) + ", toxic int"

@@ -4,6 +4,7 @@ import hashlib
 import math
 import random
 import re
+import tracemalloc
 from collections import Counter
 
 import numpy as np
@@ -126,6 +127,41 @@ def test_decontamination_loses_nothing(spark):
     assert sorted((r.doc_id for r in kept.collect()), key=str) == sorted((i for i, t in rows if (i, t) not in dirty), key=str)
 
 
+def test_decontamination_of_one_repeated_character():
+    """Each of 3,991 places meets 291 places of each item."""
+    items = ["a" * 300] * 9 + ["a" * 150 + "b" * 10 + "a" * 140]
+    index = decontam.Index(list(range(10)), items)
+    data = np.frombuffer(b"a" * 4000, np.uint8)
+    tracemalloc.start()
+    got = list(index.search(data, np.array([0, 4000])))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert [(d, i, e) for d, i, e, *_ in got] == [(0, i, 0) for i in range(9)] + [(0, 9, plain_edits(items[9], "a" * 400, 99))]
+    assert peak < 300 << 20
+
+
+def test_decontamination_at_the_end_of_a_long_text():
+    rng = random.Random(9)
+    words = lambda n: " ".join("".join(rng.choice("abcdefghij") for _ in range(rng.randrange(2, 9))) for _ in range(n))
+    item, body = words(60), words(60_000)
+    index = decontam.Index([5, 6], [item, words(50)])
+    text = f"{body} {item[:100]}x{item[101:]}".encode()
+    (hit,) = index.search(np.frombuffer(text, np.uint8), np.array([0, len(text)]))
+    assert hit[:3] == (0, 0, 1) and hit[3] >= len(body)
+
+
+@pytest.mark.parametrize("pairs", [1 << 20, 50])
+def test_pairs_are_tallied_in_parts(monkeypatch, pairs):
+    monkeypatch.setattr(decontam, "PAIRS", pairs)
+    rng = random.Random(3)
+    items = ["".join(rng.choice("ab ") for _ in range(n)) for n in (40, 90, 200)]
+    texts = ["".join(rng.choice("ab ") for _ in range(n)) + edited(rng, items[i % 3], i % 4) for i, n in enumerate((0, 30, 120, 7, 60, 15))]
+    data, offsets = "".join(texts).encode(), np.cumsum([0, *(len(t.encode()) for t in texts)])
+    got = {(d, i): e for d, i, e, *_ in decontam.Index([0, 1, 2], items).search(np.frombuffer(data, np.uint8), offsets)}
+    found = {(d, i): plain_edits(x, t, 99) for d, t in enumerate(texts) for i, x in enumerate(items)}
+    assert got == {k: e for k, e in found.items() if e <= decontam.budget(len(items[k[1]]))}
+
+
 def test_decontamination_in_blocks(spark, monkeypatch):
     monkeypatch.setattr(decontam, "BLOCK", 100)
     benchmark = spark.createDataFrame([(k, f"item number {k} " * 5) for k in range(6)], "item_id long, text string")
