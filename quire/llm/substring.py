@@ -10,6 +10,8 @@ the windows that the anchor has at the same offset elsewhere. Matching windows a
 The seeds are a seventh of the words, and only windows around repeated seeds are ever shuffled. Exact
 copies of a whole text are set aside first, by 128 bits of hash. Groups are streamed through a task
 in order, never gathered: a repeated anchor needs its two neighbours, an extension the windows seen so far.
+An anchor's rows are dealt to parts of HOT rows each. A part finds the windows that it has before; of an anchor
+with several parts, each part's first windows then meet by their hashes, a row for each window and part.
 """
 
 from __future__ import annotations
@@ -24,9 +26,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import _text
-from ._common import partitions
+from ._common import checkpointed, partitions
 
 LENGTH, SEED = 20, 6
+#: Rows of an anchor that are held against each other in one task.
+HOT = 20_000
 LAST = (1 << 63) - 1
 _U = np.uint64
 _STEP = 0xD6E8FEB86659FD93
@@ -78,82 +82,116 @@ def _seeds(length: int, seed: int):
     return run
 
 
-def _repeated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of rows sorted by anchor, those whose anchor a neighbour has too."""
-    last, held = None, None  # held: the row before, if its anchor hasn't been seen twice yet
-    for b in batches:
-        if not len(b):
-            continue
-        a = b.column(0).to_numpy()
-        same = a[1:] == a[:-1]
-        keep = np.concatenate([[last is not None and a[0] == last], same])
-        keep[:-1] |= same
-        if held is not None and a[0] == last:
-            yield held.select(["did", "th", "place"])
-        yield b.filter(pa.array(keep)).select(["did", "th", "place"])
-        last, held = a[-1], None if keep[-1] else b.slice(len(b) - 1)
+def _repeated(hot: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Of rows sorted by anchor, those whose anchor a neighbour has too. spot: the place, and above its
+        32 bits the part: how often hot rows of this anchor came before."""
+        last, held, seen = None, None, 0  # held: the row before, if its anchor hasn't been seen twice yet; seen: rows of its anchor
+
+        def spots(b: pa.RecordBatch, part: np.ndarray) -> pa.RecordBatch:
+            spot = b.column(3).to_numpy().astype(np.int64) | part << 32
+            return pa.RecordBatch.from_arrays([b.column(1), b.column(2), pa.array(spot)], ["did", "th", "spot"])
+
+        for b in batches:
+            if not len(b):
+                continue
+            a = b.column(0).to_numpy()
+            goes_on = last is not None and a[0] == last
+            same = a[1:] == a[:-1]
+            keep = np.concatenate([[goes_on], same])
+            keep[:-1] |= same
+            if held is not None and goes_on:
+                yield spots(held, np.zeros(1, np.int64))
+            first = _runs(a)
+            size = np.diff(np.append(first, len(a)))
+            place = np.arange(len(a)) - np.repeat(first, size)
+            place[: size[0]] += seen if goes_on else 0
+            yield spots(b.filter(pa.array(keep)), place[keep] // hot)
+            last, held, seen = a[-1], None if keep[-1] else b.slice(len(b) - 1), int(place[-1]) + 1
+
+    return run
 
 
 def _extensions(length: int, seed: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             did, th = (b.column(i).to_numpy() for i in (0, 1))
-            places, counts = _lists(b.column(3))
+            spots, counts = _lists(b.column(3))
             ends = np.cumsum(counts)
             for c in _text.chunks(b.column(2)):
                 w = _text.words(c.data, c.offsets)
                 h = _text.word_hashes(c.data, w)
                 starts, at, grams = anchors(h, w.ptr, length, seed)
                 lo, hi = ends[c.rows.start] - counts[c.rows.start], ends[c.rows.stop - 1]
-                wanted = np.zeros(len(h) + 1, bool)
-                wanted[places[lo:hi] + np.repeat(w.ptr[:-1], counts[c.rows])] = True
-                on = wanted[at]
+                part = np.full(len(h) + 1, LAST)
+                own = (spots[lo:hi] & 0xFFFFFFFF) + np.repeat(w.ptr[:-1], counts[c.rows])
+                np.minimum.at(part, own, spots[lo:hi] >> 32)  # repeated rows may be told several parts
+                on = part[at] < LAST
                 starts, at = starts[on], at[on]
                 first = _runs(at)
                 at, back = at[first], (at - starts)[first].astype(np.int32)
                 of = np.searchsorted(w.ptr, at, "right") - 1
                 offsets = np.append(first, len(starts)) * 8
                 windows = pa.Array.from_buffers(pa.binary(), len(at), [None, pa.py_buffer(offsets.astype(np.int32)), pa.py_buffer(window_hashes(h, starts, length))])
-                columns = [pa.array(x) for x in (grams[at].view(np.int64), did[c.rows][of], th[c.rows][of], (at - w.ptr[of]).astype(np.int32), back)]
-                yield pa.RecordBatch.from_arrays([*columns, windows], ["anchor", "did", "th", "place", "back", "windows"])
+                columns = [pa.array(x) for x in (grams[at].view(np.int64), part[at].astype(np.int32), did[c.rows][of], th[c.rows][of], (at - w.ptr[of]).astype(np.int32), back)]
+                yield pa.RecordBatch.from_arrays([*columns, windows], ["anchor", "part", "did", "th", "place", "back", "windows"])
 
     return run
 
 
-def _later(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of anchors' rows in corpus order, the windows that an earlier row has at the same offset.
+def _later(hot: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Of anchors' parts in corpus order, the windows that an earlier row has at the same offset.
 
-    A window is told by anchor, offset and hash. Those of the last anchor are carried on to the next
-    batch. mask has bit r for the window that starts r words before the anchor.
-    """
-    carried = None
-    for b in batches:
-        if not len(b):
-            continue
-        anchor, did, th, place, back = (b.column(i).to_numpy() for i in range(5))
-        sizes = pc.binary_length(b.column(5)).to_numpy() // 8
-        offsets = np.frombuffer(b.column(5).buffers()[1], np.int32)[b.column(5).offset :][: len(b) + 1]
-        hashes = np.frombuffer(b.column(5).buffers()[2], np.uint8)[offsets[0] : offsets[-1]].copy().view(_U)
-        row = np.repeat(np.arange(len(b)), sizes)
-        off = np.repeat(back, sizes) - (np.arange(len(row)) - np.repeat(np.cumsum(sizes) - sizes, sizes))
-        key = _text.mix(hashes ^ _text.mix(anchor.view(_U)[row] + off.astype(_U) * _U(_STEP)))
-        who = np.stack([did[row], th[row], place[row].astype(np.int64)])
-        new = len(key)
-        if carried is not None and carried[0] == anchor[0]:
-            key, who = np.concatenate([carried[1], key]), np.concatenate([carried[2], who], axis=1)
-        _, first, inverse = np.unique(key, return_index=True, return_inverse=True)
-        again = (who != who[:, first[inverse]]).any(axis=0)[len(key) - new :]
-        mask = np.zeros(len(b), np.int64)
-        np.bitwise_or.at(mask, row[again], np.int64(1) << off[again].astype(np.int64))
-        tail = np.zeros(len(key), bool)
-        tail[len(key) - new :] = anchor[row] == anchor[-1]
-        if carried is not None and carried[0] == anchor[-1]:
-            tail[: len(key) - new] = True
-        once = np.zeros(len(key), bool)
-        once[first] = True
-        carried = anchor[-1], key[tail & once], who[:, tail & once]
-        on = mask != 0
-        yield pa.RecordBatch.from_arrays([pa.array(x[on]) for x in (did, th, place, mask)], ["did", "th", "place", "mask"])
+        A window is told by anchor, offset and hash. Those of the last part are carried on to the next
+        batch. mask has bit r for the window that starts r words before the anchor. Of an anchor with several
+        parts each part's first windows follow, one a row, with the window's key.
+        """
+        names = ["did", "th", "place", "mask", "key"]
+        carried = None  # part, keys, rows (did, th, place, offset), how many rows the part has had
+
+        def firsts(key: np.ndarray, who: np.ndarray) -> pa.RecordBatch:
+            did, th, place, off = who
+            return pa.RecordBatch.from_arrays([pa.array(x) for x in (did, th, place.astype(np.int32), np.int64(1) << off, key.view(np.int64))], names)
+
+        for b in batches:
+            if not len(b):
+                continue
+            anchor, part, did, th, place, back = (b.column(i).to_numpy() for i in range(6))
+            sizes = pc.binary_length(b.column(6)).to_numpy() // 8
+            offsets = np.frombuffer(b.column(6).buffers()[1], np.int32)[b.column(6).offset :][: len(b) + 1]
+            hashes = np.frombuffer(b.column(6).buffers()[2], np.uint8)[offsets[0] : offsets[-1]].copy().view(_U)
+            row = np.repeat(np.arange(len(b)), sizes)
+            off = np.repeat(back, sizes) - (np.arange(len(row)) - np.repeat(np.cumsum(sizes) - sizes, sizes))
+            key = _text.mix(hashes ^ _text.mix(anchor.view(_U)[row] + off.astype(_U) * _U(_STEP)))
+            who = np.stack([did[row], th[row], place[row].astype(np.int64), off.astype(np.int64)])
+            group = np.cumsum(np.concatenate([[0], (anchor[1:] != anchor[:-1]) | (part[1:] != part[:-1])]))
+            rows_of = np.bincount(group)
+            of, new = group[row], len(key)
+            if carried is not None and carried[0] == (anchor[0], part[0]):
+                key, who = np.concatenate([carried[1], key]), np.concatenate([carried[2], who], axis=1)
+                of = np.concatenate([np.zeros(len(carried[1]), np.int64), of])
+                rows_of[0] += carried[3]
+            elif carried is not None and (carried[0][1] or carried[3] >= hot):
+                yield firsts(carried[1], carried[2])
+            _, first, inverse = np.unique(key ^ _text.mix(of.astype(_U)), return_index=True, return_inverse=True)
+            again = (who[:3] != who[:3, first[inverse]]).any(axis=0)[len(key) - new :]
+            mask = np.zeros(len(b), np.int64)
+            np.bitwise_or.at(mask, row[again], np.int64(1) << off[again].astype(np.int64))
+            on = mask != 0
+            yield pa.RecordBatch.from_arrays([*(pa.array(x[on]) for x in (did, th, place, mask)), pa.nulls(int(on.sum()), pa.int64())], names)
+            begins = _runs(group)
+            several = (part[begins] > 0) | (rows_of >= hot)
+            several[-1] = False  # the last part may go on
+            ended = first[several[of[first]]]
+            if len(ended):
+                yield firsts(key[ended], who[:, ended])
+            tail = first[of[first] == group[-1]]
+            carried = (anchor[-1], part[-1]), key[tail], who[:, tail], int(rows_of[-1])
+        if carried is not None and (carried[0][1] or carried[3] >= hot):
+            yield firsts(carried[1], carried[2])
+
+    return run
 
 
 def _cut(length: int):
@@ -189,7 +227,7 @@ def _cut(length: int):
     return run
 
 
-def dedup(docs: DataFrame, length: int = LENGTH, seed: int = SEED) -> DataFrame:
+def dedup(docs: DataFrame, length: int = LENGTH, seed: int = SEED, hot: int = HOT) -> DataFrame:
     """(doc_id, n_words, n_removed, kept_sha256, text) for every row of docs.
 
     Removes each word that lies in a window of `length` words whose sequence also starts earlier: in a
@@ -210,12 +248,16 @@ def dedup(docs: DataFrame, length: int = LENGTH, seed: int = SEED) -> DataFrame:
     alone = texts.join(copies.hint("shuffle_hash"), ["did", "th"], "left").where("copy IS NULL")
     seeds = alone.select("did", "th", "text").mapInArrow(_seeds(length, seed), "anchor long, did long, th long, place int")
     seeds = seeds.repartition(n, "anchor").sortWithinPartitions("anchor")
-    repeated = seeds.mapInArrow(_repeated, "did long, th long, place int").groupBy("did", "th").agg(F.collect_set("place").alias("places"))
-
-    around = texts.join(repeated.hint("shuffle_hash"), ["did", "th"]).select("did", "th", "text", "places")
-    around = around.mapInArrow(_extensions(length, seed), "anchor long, did long, th long, place int, back int, windows binary")
-    around = around.repartition(n, "anchor").sortWithinPartitions("anchor", "did", "th", "place")
-    later = around.mapInArrow(_later, "did long, th long, place int, mask long")
+    repeated = seeds.mapInArrow(_repeated(hot), "did long, th long, spot long").groupBy("did", "th").agg(F.collect_set("spot").alias("spots"))
+
+    around = texts.join(repeated.hint("shuffle_hash"), ["did", "th"]).select("did", "th", "text", "spots")
+    around = around.mapInArrow(_extensions(length, seed), "anchor long, part int, did long, th long, place int, back int, windows binary")
+    around = around.repartition(n, "anchor", "part").sortWithinPartitions("anchor", "part", "did", "th", "place")
+    later = checkpointed(around.mapInArrow(_later(hot), "did long, th long, place int, mask long, key long"))
+    where = F.struct("did", "th", "place")
+    firsts = later.where("key IS NOT NULL")
+    least = firsts.groupBy("key").agg(F.min(where).alias("first"))
+    later = later.where("key IS NULL").drop("key").unionByName(firsts.join(least, "key").where(where > F.col("first")).select("did", "th", "place", "mask"))
     repeats = later.groupBy("did", "th").agg(F.collect_list("place").alias("places"), F.collect_list("mask").alias("masks"))
 
     gone = repeats.select("did", "th", F.lit(None).cast("boolean").alias("copy"), "places", "masks")

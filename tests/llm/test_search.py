@@ -51,11 +51,11 @@ def plain_substring(rows, length):
     return out
 
 
-@pytest.mark.parametrize("seed, length, seeds", [(1, 20, 6), (2, 20, 6), (3, 8, 3)])
-def test_substring_dedup(spark, seed, length, seeds):
+@pytest.mark.parametrize("seed, length, seeds, hot", [(1, 20, 6, 20_000), (2, 20, 6, 2), (3, 8, 3, 20_000), (3, 8, 3, 3), (3, 8, 3, 1)])
+def test_substring_dedup(spark, seed, length, seeds, hot):
     rows = corpus(seed, vocabulary=4 if seed == 3 else 30)
     want = plain_substring(rows, length)
-    got = Counter((r.doc_id, r.n_words, r.n_removed, r.kept_sha256, r.text) for r in substring.dedup(table(spark, rows), length, seeds).collect())
+    got = Counter((r.doc_id, r.n_words, r.n_removed, r.kept_sha256, r.text) for r in substring.dedup(table(spark, rows), length, seeds, hot).collect())
     assert got == Counter((i, *want[i, t or ""]) for i, t in rows)
 
 
@@ -64,8 +64,9 @@ def test_carried_windows_over_small_batches(spark):
     try:
         rows = corpus(4)[:40]
         want = plain_substring(rows, 20)
-        got = {(r.doc_id, r.kept_sha256) for r in substring.dedup(table(spark, rows)).collect()}
-        assert got == {(i, want[i, t or ""][2]) for i, t in rows}
+        for hot in (20_000, 3):
+            got = {(r.doc_id, r.kept_sha256) for r in substring.dedup(table(spark, rows), hot=hot).collect()}
+            assert got == {(i, want[i, t or ""][2]) for i, t in rows}
     finally:
         spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
 
