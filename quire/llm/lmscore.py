@@ -11,6 +11,10 @@ several times the text. Words among the TOP most frequent ones (a fixed number,
 broadcast) are named by rank, and their pairs are dealt by both words, so that no frequent word makes a hot
 partition; other pairs are dealt by the first word, whose count is then at hand. Words beyond the TOP to
 which a pair backs off are joined to the table of word counts, partitioned by hash.
+
+Pairs of two of the HEAD most frequent words, or of the start mark and one of them, aren't dealt: each task adds
+them up in a table of fixed size, the sums are a broadcast table too, and the pairs are joined to it where they
+are. So each dealt pair has a word that makes up less than 1 / HEAD of all words.
 """
 
 from __future__ import annotations
@@ -29,6 +33,8 @@ BACKOFF, MIN_COUNT = 0.4, 2
 #: Most frequent words that are named by rank; below 65535, the start mark's.
 TOP = 65_534
 START, OTHER = 65_534, 65_535
+#: Most frequent words whose pairs are counted in one table; row HEAD of it is the start mark's.
+HEAD = 512
 #: Pairs that a partition of counts should hold.
 PAIRS = 1_000_000
 #: Bytes of text whose pairs are packed together; small rows would be many times as many.
@@ -75,6 +81,40 @@ def word_counts(docs: DataFrame) -> DataFrame:
     return found.groupBy("word").agg(F.sum("n").alias("n"), F.sum("ends").alias("ends"))
 
 
+def _firsts(ranks: np.ndarray, ptr: np.ndarray) -> np.ndarray:
+    """The rank of the word before each."""
+    out = np.empty_like(ranks)
+    out[1:] = ranks[:-1]
+    out[ptr[:-1][np.diff(ptr) > 0]] = START
+    return out
+
+
+def _cells(ra: np.ndarray, rb: np.ndarray, head: int) -> np.ndarray:
+    """Places of pairs in the table of head pairs, -1 for those that aren't in it."""
+    row = np.where(ra == START, head, ra).astype(np.int64)
+    return np.where((row <= head) & (rb < head) & ((ra == START) | (ra < head)), row * head + rb, -1)
+
+
+def head_counts(docs: DataFrame, top, head: int) -> np.ndarray:
+    """How often each pair of the table occurs; at most (head + 1) * head rows come to the driver."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, found = top.value, np.zeros((head + 1) * head, np.int64)
+        for b in batches:
+            for c in _text.chunks(b.column(0)):
+                h, ptr = hashes(c.data, c.offsets)
+                rb = known.ranks(h)
+                cell = _cells(_firsts(rb, ptr), rb, head)
+                found += np.bincount(cell[cell >= 0], minlength=len(found))
+        cell = np.flatnonzero(found)
+        yield pa.RecordBatch.from_arrays([pa.array(cell.astype(np.int32)), pa.array(found[cell])], ["cell", "n"])
+
+    found = docs.select("text").mapInArrow(run, "cell int, n long").groupBy("cell").agg(F.sum("n").alias("n")).toArrow()
+    out = np.zeros((head + 1) * head, np.int64)
+    out[found.column("cell").to_numpy()] = found.column("n").to_numpy()
+    return out
+
+
 class Top:
     """The most frequent words: hash, rank, count, and pairs that begin with each."""
 
@@ -96,61 +136,69 @@ def _pack(x: np.ndarray) -> bytes:
     return x.tobytes()
 
 
-SCHEMA = "bucket int, did binary, th binary, doc binary, ra binary, rb binary, a binary, b binary"
+SCHEMA = "bucket int, rid binary, value binary, doc binary, ra binary, rb binary, a binary, b binary"
 
 
-def exploded(docs: DataFrame, top, buckets: int) -> DataFrame:
+def exploded(docs: DataFrame, top, table, head: int, buckets: int) -> DataFrame:
     """Pairs by bucket: for each chunk its documents, and each pair's document, ranks, and the hashes of
-    the words without a rank."""
+    the words without a rank. A row with values has the chunk's documents and the sums of their head pairs."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: Top = top.value
+        n = table.value
+        row = np.arange(len(n)) // max(head, 1)
+        begins, backed = known.begins[np.where(row == head, START, row)], known.n[np.arange(len(n)) % max(head, 1)]
+        worth = np.where(n >= MIN_COUNT, np.log(np.maximum(n, 1) / np.maximum(begins, 1)), np.log(BACKOFF * np.maximum(backed, 1) / known.total))
         for batch in batches:
-            did, th = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-            for c in _text.chunks(batch.column(2), PACKED):
+            rid = batch.column(0).to_numpy()
+            for c in _text.chunks(batch.column(1), PACKED):
                 h, ptr = hashes(c.data, c.offsets)
                 doc = _text.owners(ptr).astype(np.uint32)
                 rb = known.ranks(h)
-                ra, a = np.empty_like(rb), np.empty_like(h)
-                ra[1:], a[1:] = rb[:-1], h[:-1]
-                heads = ptr[:-1][np.diff(ptr) > 0]
-                ra[heads], a[heads] = START, 0
+                ra, a = _firsts(rb, ptr), np.empty_like(h)
+                a[1:] = h[:-1]
+                a[ptr[:-1][np.diff(ptr) > 0]] = 0
+                cell = _cells(ra, rb, head)
+                own = np.flatnonzero(cell >= 0)
+                sums = np.bincount(doc[own], worth[cell[own]], len(ptr) - 1)
+                rest = np.flatnonzero(cell < 0)
+                doc, ra, rb, a, h = (x[rest] for x in (doc, ra, rb, a, h))
                 deal = np.where(ra != OTHER, _text.mix(a * _U(0x9FB21C651E98DF25) + h), _text.mix(a)) % _U(buckets)
                 order = np.lexsort((doc, rb, ra, deal))
                 deal, doc, ra, rb, a, h = (x[order] for x in (deal, doc, ra, rb, a, h))
                 cuts = np.searchsorted(deal, np.arange(buckets + 1, dtype=_U))
-                rows = []
+                told = np.flatnonzero(np.diff(ptr))
+                rows = [(int(sums.view(np.uint64).sum() % _U(buckets)), _pack(rid[told + c.rows.start]), _pack(sums[told]), *[None] * 5)]
                 for k in np.flatnonzero(np.diff(cuts)).tolist():
                     on = slice(cuts[k], cuts[k + 1])
                     used, local = np.unique(doc[on], return_inverse=True)
                     kind = np.uint16 if len(used) < 65536 else np.uint32
                     own = used + c.rows.start
-                    rows.append((k, _pack(did[own]), _pack(th[own]), _pack(local.astype(kind)), _pack(ra[on]), _pack(rb[on]), _pack(a[on][ra[on] == OTHER]), _pack(h[on][rb[on] == OTHER])))
-                if rows:
+                    rows.append((k, _pack(rid[own]), None, _pack(local.astype(kind)), _pack(ra[on]), _pack(rb[on]), _pack(a[on][ra[on] == OTHER]), _pack(h[on][rb[on] == OTHER])))
+                if len(told):
                     k, *rest = zip(*rows, strict=True)
                     yield pa.RecordBatch.from_arrays([pa.array(k, pa.int32()), *(pa.array(x, pa.binary()) for x in rest)], [x.split()[0] for x in SCHEMA.split(", ")])
 
-    return docs.select("did", "th", "text").mapInArrow(run, SCHEMA)
+    return docs.select("rid", "text").mapInArrow(run, SCHEMA)
 
 
 def _bucket_scores(known: Top, parts: list[dict]) -> Iterator[pa.RecordBatch]:
-    """Of one bucket, (did, th, word, value): the sum of what is known of each document, with a null
+    """Of one bucket, (rid, word, value): the sum of what is known of each document, with a null
     word; and how often each word beyond the top is backed off to."""
-    did, th, doc, ra, rb, a, b, base = [], [], [], [], [], [], [], 0
+    rid, doc, ra, rb, a, b, base = [], [], [], [], [], [], 0
     for p in parts:
-        did.append(np.frombuffer(p["did"], np.int64))
-        th.append(np.frombuffer(p["th"], np.int32))
+        rid.append(np.frombuffer(p["rid"], np.int64))
         x, y = np.frombuffer(p["ra"], np.uint16), np.frombuffer(p["rb"], np.uint16)
         local = np.frombuffer(p["doc"], np.uint16 if len(p["doc"]) == 2 * len(x) else np.uint32)
         doc.append(local.astype(np.int64) + base)
-        base += len(did[-1])
+        base += len(rid[-1])
         for ranks, packed, out in ((x, "a", a), (y, "b", b)):
             full = ranks.astype(_U)
             full[ranks == OTHER] = np.frombuffer(p[packed], _U)
             out.append(full)
         ra.append(x)
         rb.append(y)
-    did, th, doc, ra, rb, a, b = map(np.concatenate, (did, th, doc, ra, rb, a, b))
+    rid, doc, ra, rb, a, b = map(np.concatenate, (rid, doc, ra, rb, a, b))
     pair = _text.mix(a * _U(0x9FB21C651E98DF25) + _text.mix(b + rb.astype(_U)) + ra.astype(_U))
     _, inverse, n = np.unique(pair, return_inverse=True, return_counts=True)
     n = n[inverse]
@@ -160,26 +208,28 @@ def _bucket_scores(known: Top, parts: list[dict]) -> Iterator[pa.RecordBatch]:
     value = np.where(seen, np.log(n / np.maximum(begins, 1)), np.log(BACKOFF / known.total))
     value += np.where(~seen & ranked, np.log(known.n[np.where(ranked, rb, len(known.n) - 1)]), 0.0)
     part = np.bincount(doc, value, base)
-    yield pa.RecordBatch.from_arrays([pa.array(did), pa.array(th), pa.nulls(len(did), pa.int64()), pa.array(part)], ["did", "th", "word", "value"])
+    yield pa.RecordBatch.from_arrays([pa.array(rid), pa.nulls(len(rid), pa.int64()), pa.array(part)], ["rid", "word", "value"])
     ask = ~seen & ~ranked
     if ask.any():
-        yield pa.RecordBatch.from_arrays([pa.array(did[doc[ask]]), pa.array(th[doc[ask]]), pa.array(b[ask].view(np.int64)), pa.array(np.ones(ask.sum()))], ["did", "th", "word", "value"])
+        yield pa.RecordBatch.from_arrays([pa.array(rid[doc[ask]]), pa.array(b[ask].view(np.int64)), pa.array(np.ones(ask.sum()))], ["rid", "word", "value"])
 
 
 def score(docs: DataFrame) -> DataFrame:
     """(doc_id, n_words, log_score) for every row of docs: the mean of ln S, null without a word.
 
     Counts cover all rows, repeated ones each time. A null text has no words. Rows alike in doc_id and
-    text have one score; a null doc_id is told by its text.
+    text have one score, a null doc_id is told by its text (64 bits of hash). Other columns are not read.
     """
     n = partitions(docs.sparkSession)
     text = F.coalesce("text", F.lit(""))
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("doc_id").cast("long"), F.lit(-1)).alias("did"), F.hash(F.col("doc_id").isNull(), text).alias("th"), text.alias("text"))
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(F.col("doc_id").isNull(), F.col("doc_id").cast("long"), text).alias("rid"), text.alias("text"))
     counts = checkpointed(word_counts(docs))
     total, texts = (int(x or 0) for x in counts.agg(F.sum("n"), F.sum("ends")).first())
     most = counts.orderBy(F.desc("n"), "word").limit(TOP).toArrow()
     columns = [most.column(x).to_numpy() for x in ("word", "n", "ends")]
     top = docs.sparkSession.sparkContext.broadcast(Top(columns[0].view(_U), *columns[1:], max(total, 1), texts))
+    head = min(HEAD, len(most))
+    table = docs.sparkSession.sparkContext.broadcast(head_counts(rows, top, head))
     buckets = max(n, -(-total // PAIRS))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -187,6 +237,10 @@ def score(docs: DataFrame) -> DataFrame:
         for b in batches:
             for k in range(len(b)):  # one row's bytes at a time
                 row = {name: b.column(i)[k].as_py() for i, name in enumerate(b.schema.names)}
+                if row["value"] is not None:
+                    rid, value = np.frombuffer(row["rid"], np.int64), np.frombuffer(row["value"], np.float64)
+                    yield pa.RecordBatch.from_arrays([pa.array(rid), pa.nulls(len(rid), pa.int64()), pa.array(value)], ["rid", "word", "value"])
+                    continue
                 if held and row["bucket"] != held[0]["bucket"]:
                     yield from _bucket_scores(known, held)
                     held = []
@@ -194,13 +248,13 @@ def score(docs: DataFrame) -> DataFrame:
         if held:
             yield from _bucket_scores(known, held)
 
-    dealt = exploded(rows, top, buckets).repartition(n, "bucket").sortWithinPartitions("bucket")
-    parts = stored(dealt.mapInArrow(run, "did long, th int, word long, value double"))
-    backed = parts.where("word IS NOT NULL").join(counts.select("word", "n"), "word").select("did", "th", (F.col("value") * F.log("n")).alias("value"))
-    sums = parts.where("word IS NULL").select("did", "th", "value").unionByName(backed).groupBy("did", "th").agg(F.sum("value").alias("value"))
-    own = rows.select("doc_id", "did", "th", F.regexp_count("text", F.lit(_text.WORD)).cast("long").alias("n_words"))
-    times = own.groupBy("did", "th").agg(F.count("*").alias("times"))
-    found = own.join(sums.join(times, ["did", "th"]), ["did", "th"], "left")
+    dealt = exploded(rows, top, table, head, buckets).repartition(n, "bucket").sortWithinPartitions("bucket")
+    parts = stored(dealt.mapInArrow(run, "rid long, word long, value double"))
+    backed = parts.where("word IS NOT NULL").join(counts.select("word", "n"), "word").select("rid", (F.col("value") * F.log("n")).alias("value"))
+    sums = parts.where("word IS NULL").select("rid", "value").unionByName(backed).groupBy("rid").agg(F.sum("value").alias("value"))
+    own = rows.select("doc_id", "rid", F.regexp_count("text", F.lit(_text.WORD)).cast("long").alias("n_words"))
+    times = own.groupBy("rid").agg(F.count("*").alias("times"))
+    found = own.join(sums.join(times, "rid"), "rid", "left")
     return found.select("doc_id", "n_words", F.when(F.col("n_words") > 0, F.col("value") / F.col("times") / F.col("n_words")).alias("log_score"))
 
 

@@ -180,8 +180,9 @@ def plain_scores(rows):
     return [np.mean([math.log(two[a, b] / begins[a]) if two[a, b] >= 2 else math.log(0.4 * one[b] / n) for a, b in x]) if x else None for x in pairs]
 
 
-@pytest.mark.parametrize("top, pairs", [(65_534, 2_000_000), (3, 200), (0, 50)])
-def test_language_model_scores(spark, monkeypatch, top, pairs):
+@pytest.mark.parametrize("top, pairs, head", [(65_534, 2_000_000, 512), (65_534, 2_000_000, 2), (50, 100, 50), (3, 200, 0), (0, 50, 512)])
+def test_language_model_scores(spark, monkeypatch, top, pairs, head):
+    monkeypatch.setattr(lmscore, "HEAD", head)
     monkeypatch.setattr(lmscore, "TOP", top)
     monkeypatch.setattr(lmscore, "PAIRS", pairs)
     rng = random.Random(6)
