@@ -40,6 +40,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Rows of a few numbers that may be broadcast.
+SMALL = 200_000
+
+
+def small(df: DataFrame) -> DataFrame:
+    """df, a checkpointed table of a few numbers a row, marked for a broadcast if it has SMALL rows at most."""
+    return F.broadcast(df) if df.count() <= SMALL else df
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

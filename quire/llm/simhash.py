@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import _text, simwide
-from ._common import checkpointed, components, partitions
+from ._common import checkpointed, components, partitions, small
 
 SHINGLE = 5
 MOST_BITS = 3
@@ -221,12 +221,16 @@ def keep_first(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     known = checkpointed(simwide.nodes_of(docs, shingle))
     found = simwide.linked(docs, known, shingle)
     of = known.select("fp").distinct().join(found, F.col("fp") == F.col("node"), "left").select("fp", F.coalesce("component", "fp").alias("class"))
-    least = F.min(F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), "th"))
-    copies = known.groupBy("doc_id", "th", "fp").agg(F.count("*").alias("n"))
-    first = copies.join(of, "fp").groupBy("class").agg(F.min_by("n", F.struct(F.col("doc_id").isNull(), "doc_id", "th")).alias("n"), least.alias("first"))
-    first = first.select("n", "first.id", "first.th").hint("shuffle_hash")
-    rows = docs.select(F.struct("*").alias("row"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("hash"))
-    kept = rows.join(first, F.col("row.doc_id").eqNullSafe(F.col("id")) & (F.col("hash") == F.col("th")))
-    rank = F.row_number().over(Window.partitionBy("id", "th").orderBy("id"))
-    several = kept.where("n > 1").withColumn("rank", rank).where("rank = 1")
-    return kept.where("n = 1").select("row.*").unionByName(several.select("row.*"))
+    copies = known.groupBy("doc_id", "th", "fp").agg(F.count("*").alias("n")).join(of, "fp")
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "th")
+    first = copies.groupBy("class").agg(F.min(order).alias("first"))
+    judged = checkpointed(copies.join(first, "class").select(F.col("doc_id").alias("id"), F.col("th").alias("hash"), "n", (order > F.col("first")).alias("goes")))
+    rows = docs.select(F.struct("*").alias("row"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("own"))
+    same = F.col("row.doc_id").cast("long").eqNullSafe(F.col("id")) & (F.col("own") == F.col("hash"))
+    told = checkpointed(judged.where("goes OR n > 1").select("id", "hash", "goes"))  # the other rows stay as they are
+    rows = rows.join(small(told), same, "left").where("goes IS NULL OR NOT goes")
+    if told.where("NOT goes").isEmpty():
+        return rows.select("row.*")
+    rank = F.row_number().over(Window.partitionBy("id", "hash").orderBy("id"))
+    several = rows.where("goes IS NOT NULL").withColumn("rank", rank).where("rank = 1")
+    return rows.where("goes IS NULL").select("row.*").unionByName(several.select("row.*"))

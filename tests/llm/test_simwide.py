@@ -4,7 +4,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from quire.llm import simhash, simwide
+from quire.llm import _common, simhash, simwide
 
 SCHEMA = "doc_id long, text string, source string, _n int, component_id string"
 
@@ -38,8 +38,9 @@ def edited(words, rng, n):
     return words
 
 
-@pytest.mark.parametrize("block", [1024, 8])
-def test_near_copies_against_brute_force(spark, monkeypatch, block):
+@pytest.mark.parametrize("block, small", [(1024, 200_000), (8, 0)])
+def test_near_copies_against_brute_force(spark, monkeypatch, block, small):
+    monkeypatch.setattr(_common, "SMALL", small)
     monkeypatch.setattr(simwide, "BLOCK", block)
     monkeypatch.setattr(simwide, "LEADERS", block // 4)
     rng = np.random.default_rng(5)
@@ -74,14 +75,16 @@ def test_recall_of_links_between_different_texts(spark):
 def test_streamed_blocks_hold_each_list_once():
     key = np.repeat(np.arange(40, dtype=np.int32), np.arange(40) % 7 * 3 % 11 + 1)
     ids = np.arange(len(key))
-    batches = [pa.RecordBatch.from_arrays([pa.array(key[i : i + 5]), pa.array(ids[i : i + 5])], ["key", "id"]) for i in range(0, len(key), 5)]
+    postings = key.astype(np.int64) << 32 | ids
+    postings = np.sort(np.append(postings, [39 << 32 | 1 << 31] * 2))  # two nodes with the same half
+    batches = [pa.RecordBatch.from_arrays([pa.array(postings[i : i + 5])], ["posting"]) for i in range(0, len(postings), 5)]
     simwide_block, simwide.BLOCK = simwide.BLOCK, 4
     try:
         rows = [r for b in simwide._blocks(iter(batches)) for r in b.to_pylist()]
     finally:
         simwide.BLOCK = simwide_block
     for k in range(40):
-        own = ids[key == k].tolist()
+        own = ids[key == k].tolist() + [1 << 31] * (k == 39)
         found = [r["ids"] for r in sorted((r for r in rows if r["key"] == k), key=lambda r: r["block"])]
         assert found == [] if len(own) < 2 else found[0] == own[:4] and sorted({x for f in found for x in f}) == own
 
