@@ -72,21 +72,33 @@ def test_recall_of_links_between_different_texts(spark):
     assert set(sets) - kept <= {b for _, b in alike}  # nothing else goes
 
 
-def test_streamed_blocks_hold_each_list_once():
-    key = np.repeat(np.arange(40, dtype=np.int32), np.arange(40) % 7 * 3 % 11 + 1)
+@pytest.mark.parametrize("block, step", [(4, 5), (4, 100), (64, 3), (1000, 1000)])
+def test_streamed_blocks_hold_each_list_once(monkeypatch, block, step):
+    monkeypatch.setattr(simwide, "BLOCK", block)
+    monkeypatch.setattr(simwide, "LEADERS", 2)
+    sizes = np.arange(40) % 7 * 3 % 11 + 1
+    sizes[20] = 50
+    key = np.repeat(np.arange(40), sizes)
     ids = np.arange(len(key))
-    postings = key.astype(np.int64) << 32 | ids
-    postings = np.sort(np.append(postings, [39 << 32 | 1 << 31] * 2))  # two nodes with the same half
-    batches = [pa.RecordBatch.from_arrays([pa.array(postings[i : i + 5])], ["posting"]) for i in range(0, len(postings), 5)]
-    simwide_block, simwide.BLOCK = simwide.BLOCK, 4
-    try:
-        rows = [r for b in simwide._blocks(iter(batches)) for r in b.to_pylist()]
-    finally:
-        simwide.BLOCK = simwide_block
-    for k in range(40):
-        own = ids[key == k].tolist() + [1 << 31] * (k == 39)
+    postings = np.sort(np.append(key << 32 | ids, [41 << 32 | 1 << 31] * 2))  # two nodes with the same half
+    words = np.full(len(postings), 5)
+    words[key.searchsorted(30) : key.searchsorted(31)] = np.arange(sizes[30]) % 2 * -1  # two sides far apart
+    batches = [pa.RecordBatch.from_arrays([pa.array(x[i : i + step]) for x in (postings, words)], ["posting", "word"]) for i in range(0, len(postings), step)]
+    rows = [r for b in simwide._blocks(iter(batches)) for r in b.to_pylist()]
+    for k in range(42):
+        own = ids[key == k].tolist() + [1 << 31] * 2 * (k == 41)
         found = [r["ids"] for r in sorted((r for r in rows if r["key"] == k), key=lambda r: r["block"])]
-        assert found == [] if len(own) < 2 else found[0] == own[:4] and sorted({x for f in found for x in f}) == own
+        if len(own) < 2:
+            assert found == []
+        elif len(own) <= block:
+            assert found == [own]
+        else:
+            assert found == [own[: min(lo, 2)] + own[lo : lo + block] for lo in range(0, len(own), block)]
+
+
+def test_lists_lose_those_that_are_far_from_all_others():
+    word = np.array([0, 1, -1, -2, 0xFFFFFFFF, 7], np.int64).view(np.uint64)
+    assert simwide._meeting(np.array([0, 5]), np.array([5, 1]), word).tolist() == [True, True, True, True, False, False]
 
 
 def test_similarity_of_exactly_four_fifths(spark):
