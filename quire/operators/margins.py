@@ -27,23 +27,24 @@ def repeated_patterns(lines: DataFrame, compat: bool = False, share: float = 0.6
 
     A text in both bands counts with its larger count; compat: with the footer's.
     """
-    key = T.repetition_key("text").alias("key")
-    bands = [lines.where(on).select("doc_id", "n_pages", "page_no", key, F.lit(i).alias("band")) for i, on in enumerate((is_.in_header(), is_.in_footer()))]
-    counts = bands[0].unionByName(bands[1]).where("key <> ''").distinct().groupBy("doc_id", "n_pages", "key", "band").count()
-    count = F.max_by("count", "band") if compat else F.max("count")
+    bands = lines.where(is_.in_header() | is_.in_footer()).select("doc_id", "n_pages", "page_no", T.repetition_key("text").alias("key"), is_.in_header().alias("head"), is_.in_footer().alias("foot"))
+    pages = lambda band: F.size(F.collect_set(F.when(F.col(band), F.col("page_no"))))
+    counts = bands.where("key <> ''").groupBy("doc_id", "n_pages", "key").agg(pages("head").alias("head"), pages("foot").alias("foot"))
+    count = F.when(F.col("foot") > 0, F.col("foot")).otherwise(F.col("head")) if compat else F.greatest("head", "foot")
     needed = F.greatest(F.lit(least), F.ceil(F.col("n_pages") * share).cast("int"))
-    return counts.groupBy("doc_id", "n_pages", "key").agg(count.alias("n")).where(F.col("n") >= needed).select("doc_id", "key")
+    return counts.where(count >= needed).select("doc_id", "key")
 
 
 def reasons(lines: DataFrame, compat: bool = False) -> DataFrame:
     """lines with `reason`: why a line is dropped, the first that holds, or null."""
     often = repeated_patterns(lines, compat).withColumn("often", F.lit(True))
-    keyed = lines.withColumn("key", T.repetition_key("text")).join(often, ["doc_id", "key"], "left")
+    keyed = lines.withColumn("norm", T.normalize("text")).withColumn("low", F.lower("norm")).withColumn("key", T.numbers_hidden("low")).join(often, ["doc_id", "key"], "left")
+    low = F.col("low")
     reason = (
-        F.when(F.col("often"), "repeated").when(is_.signature_artefact("text"), "signature").when(is_.page_number("text", compat), "page_number")
-        .when(is_.watermark_text("text"), "watermark").when(is_.side_margin_noise("text"), "side_margin")
+        F.when(F.col("often"), "repeated").when(is_.signature_artefact("text", low), "signature").when(is_.page_number("text", compat, low), "page_number")
+        .when(is_.watermark_text("text", norm=F.col("norm")), "watermark").when(is_.side_margin_noise("text"), "side_margin")
     )
-    return keyed.withColumn("reason", reason).drop("key", "often")
+    return keyed.withColumn("reason", reason).drop("norm", "low", "key", "often")
 
 
 def clean_entries(lines: DataFrame) -> DataFrame:

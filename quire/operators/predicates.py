@@ -44,8 +44,9 @@ def bare_citation(x) -> Column:
     return c(x).rlike(P.BARE_CITATION)
 
 
-def signature_artefact(x) -> Column:
-    t = F.lower(T.normalize(x))
+def signature_artefact(x, low: Column | None = None) -> Column:
+    """low: x normalized, in lower case, where a column has that already."""
+    t = F.lower(T.normalize(x)) if low is None else low
     return t.contains("signature not verified") | t.contains("digitally signed by") | t.rlike("^reason:?$") | (t.contains("ist") & t.rlike(P.CLOCK))
 
 
@@ -54,9 +55,10 @@ def margin_noise(x) -> Column:
     return (t == "") | t.rlike(P.PAGE_NUMBER) | t.rlike(P.LINK)
 
 
-def page_number(x, compat: bool = False) -> Column:
+def page_number(x, compat: bool = False, low: Column | None = None) -> Column:
     """A page number in the header or footer band. compat: tested after numbers were hidden, so never true."""
-    t = T.repetition_key(x) if compat else F.lower(T.normalize(x))
+    low = F.lower(T.normalize(x)) if low is None else low
+    t = T.numbers_hidden(low) if compat else low
     return (in_header() | in_footer()) & t.rlike(P.PAGE_NUMBER)
 
 
@@ -65,12 +67,13 @@ def side_margin_noise(x, width: float = PAGE_WIDTH) -> Column:
     return (t == "") | ((F.length(t) <= 2) & t.rlike(P.SIDE_LETTER) & ((F.col("x0") < width * 0.08) | (F.col("x1") > width * 0.92)))
 
 
-def watermark_text(x, width: float = PAGE_WIDTH, height: float = PAGE_HEIGHT) -> Column:
-    t = T.normalize(x)
+def watermark_text(x, width: float = PAGE_WIDTH, height: float = PAGE_HEIGHT, norm: Column | None = None) -> Column:
+    """Place and size are tested before the text, as few lines are large."""
+    t = T.normalize(x) if norm is None else norm
     label = (T.upper_share(t) >= 0.82) & T.words(t).between(1, 8) & ~t.rlike(P.SENTENCE_END)
     middle = F.col("y0").between(height * 0.18, height * 0.82) & (F.abs((F.col("y0") + F.col("y1")) * 0.5 - height * 0.5) <= height * 0.32)
     large = ((F.col("x1") - F.col("x0")) / width >= 0.34) & (F.col("font_size") >= 20)
-    return F.coalesce((F.length(t) <= 90) & t.rlike("[A-Za-z]") & (label | t.rlike(P.WATERMARK_WORD)) & middle & large, F.lit(False))
+    return F.coalesce(large & middle & (F.length(t) <= 90) & t.rlike("[A-Za-z]") & (label | t.rlike(P.WATERMARK_WORD)), F.lit(False))
 
 
 def list_item(x) -> Column:

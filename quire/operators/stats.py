@@ -21,12 +21,12 @@ def doc_stats(lines: DataFrame) -> DataFrame:
     width = F.col("x1") - F.col("x0")
     found = rows.groupBy("doc_id").agg(
         median("font_size", 11.0).alias("body_font"), median(F.when(F.col("gap").between(0, 40), F.col("gap")), 3.0).alias("line_gap"), median("x0", 72.0).alias("left_indent"),
-        median("x1", 520.0).alias("right_edge"), F.median(F.col("y1") - F.col("y0")).alias("line_height"), F.median(width).alias("line_width"),
+        median("x1", 520.0).alias("right_edge"), F.median(F.col("y1") - F.col("y0")).alias("line_height"), F.median(width).alias("line_width"), F.collect_list(width).alias("widths"),
         F.avg(is_.list_item_base("text").cast("int")).alias("items"), F.avg(is_.caps_heading("text").cast("int")).alias("caps"),
     )
-    wide = rows.join(found.select("doc_id", "line_width"), "doc_id").groupBy("doc_id").agg(F.avg((width >= F.col("line_width") * 0.9).cast("int")).alias("wide"))
-    signals = (F.col("items") >= 0.08).cast("int") + (F.col("caps") >= 0.04).cast("int") + (F.col("wide") >= 0.55).cast("int")
-    return found.join(wide, "doc_id").select("doc_id", "body_font", "line_gap", "left_indent", "right_edge", "line_height", (signals >= 2).alias("judis"))
+    wide = F.size(F.filter("widths", lambda w: w >= F.col("line_width") * 0.9)) / F.size("widths")
+    signals = (F.col("items") >= 0.08).cast("int") + (F.col("caps") >= 0.04).cast("int") + (wide >= 0.55).cast("int")
+    return found.select("doc_id", "body_font", "line_gap", "left_indent", "right_edge", "line_height", (signals >= 2).alias("judis"))
 
 
 def base_indent(entries: DataFrame, indent: str = "indent") -> DataFrame:

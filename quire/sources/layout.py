@@ -23,8 +23,10 @@ def layout_lines(docs: DataFrame) -> DataFrame:
     sized = docs.where(F.length("text") > 0).select("doc_id", "source", flat.alias("flat"), F.ceil(F.length("text") / CHARS).cast("int").alias("n"))
     sized = sized.withColumn("n_pages", F.ceil(F.col("n") / LINES).cast("int"))
 
-    def line(i: Column) -> Column:
-        piece, k = F.substring(F.col("flat"), i * CHARS + 1, F.lit(CHARS)), i % LINES
+    parts = F.regexp_extract_all("flat", F.lit("(?s).{1,%d}" % CHARS), F.lit(0))  # one pass, where substrings would each count from the start
+
+    def line(piece: Column, i: Column) -> Column:
+        k = i % LINES
         x0 = F.when((F.col("doc_id") + k) % 5 == 0, 96.0).otherwise(72.0)
         return _row(F.floor(i / LINES).cast("int") + 1, k + 1, T.normalize(piece), x0, 40.0 + 29.0 * k, x0 + 7.0 * F.length(piece), 12.0,
                     F.when((F.col("doc_id") + i) % 17 == 0, 14.0).otherwise(11.0),
@@ -36,7 +38,7 @@ def layout_lines(docs: DataFrame) -> DataFrame:
         return _row(p, F.lit(25 if footer else 0), words, F.lit(72.0), y0, 72.0 + 7.0 * F.length(words), 12.0, F.lit(11.0), F.lit(0), F.lit(101 if footer else 100))
 
     pages = F.sequence(F.lit(1), F.col("n_pages"))
-    rows = F.concat(F.transform(F.sequence(F.lit(0), F.col("n") - 1), line), F.transform(pages, lambda p: margin(p, False)), F.transform(pages, lambda p: margin(p, True)))
+    rows = F.concat(F.transform(parts, line), F.transform(pages, lambda p: margin(p, False)), F.transform(pages, lambda p: margin(p, True)))
     return sized.select("doc_id", "n_pages", F.inline(rows)).where("text <> ''")
 
 
