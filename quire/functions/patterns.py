@@ -70,10 +70,11 @@ ACT_NOISE = (
     r"(?i)(?:application\s+under|in\s+accordance|pursuant\s+to|provisions?\s+of\s+the|under\s+the\s+said|terms\s+of\s+the|filed\s+an?\s+|considering\s+an?\s+|submitted\s+that|"
     r"present\s+(?:case|petition)|section\s+\d+\s+of\s+the|order\s+xi|order\s+vii|^the\s+said|^an?\s+application|^while\s+|^further\s+|^learned\s+|^on\s+the\s+other)"
 )
-ACT_STOP_WORDS = (
-    "a an any as at be been being by considering filed for further had has have in is its learned no not of on order present said "
-    "submitted such that the this to under was while"
-).split()
+#: First words that no act begins with, a set.
+ACT_STOP_WORDS = [
+    "a", "an", "any", "as", "at", "be", "been", "being", "by", "considering", "filed", "for", "further", "had", "has", "have", "in",
+    "is", "its", "learned", "no", "not", "of", "on", "order", "present", "said", "submitted", "such", "that", "the", "this", "to", "under", "was", "while",
+]
 ADVOCATE_SIDE = r"(?i)\s+for\s+(?:respondent|petitioner|appellant|opposite\s+party)\s*[\w\s\.]*"
 ADVOCATE_TITLE = r"(?i)\b(?:Senior\s+Advocate|Sr\.?\s*Adv\.?|Advocate|Adv\.?)\b"
 ADVOCATE_NAME = r"^(?:Mr\.|Ms\.|Mrs\.|Dr\.)\s*\S"
@@ -92,6 +93,7 @@ ZONES = (  # in order, the first that matches; on upper-case text but where said
 CONTINUATION_WORDS = ("of", "and", "or", "to", "from", "in", "on", "at", "for", "by", "with", "under", "into", "upon", "vs.", "v.", "no.", "nos.", "section", "sections")
 
 #: Code points that browsers do not show as a letter: ranges, ends included.
+#: Ranges of illegal code points in ascending order, those that adjoin written as one.
 ILLEGAL_RANGES = (
     (0x00, 0x1F), (0x7F, 0xA0), (0xAD, 0xAD), (0x300, 0x36F), (0x61C, 0x61C), (0x900, 0x97F), (0xA00, 0xA7F), (0x1361, 0x1361), (0x1AB0, 0x1AFF), (0x1DC0, 0x1DFF), (0x200B, 0x200F),
     (0x2028, 0x202E), (0x2066, 0x2069), (0x20D0, 0x20FF), (0xD800, 0xDFFF), (0xFE20, 0xFE2F), (0xFEFF, 0xFEFF), (0xFFFC, 0xFFFC), (0xFFFE, 0xFFFF),

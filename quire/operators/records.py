@@ -62,6 +62,41 @@ def within_quota(files: DataFrame, by: str, order: str, size: str, quota: int) -
     return files.withColumn("kept", before <= quota)
 
 
-def output_paths(prefix: str, key: str = "file_id") -> dict[str, F.Column]:
+def output_paths(prefix: str, root: str, key: str = "file_id") -> dict[str, F.Column]:
+    """The key under prefix of a record's HTML, and its address under root, the store's."""
     path = F.concat(F.lit(f"{prefix}/"), F.col(key).cast("string"), F.lit(".html"))
-    return {"s3_key": path, "url": F.concat(F.lit("s3://bucket/"), path)}
+    return {"s3_key": path, "url": F.concat(F.lit(f"{root}/"), path)}
+
+
+def processed(records: DataFrame, sources: DataFrame, prefix: str, root: str) -> DataFrame:
+    """(file_id, status, s3_status, s3_key, s3_url): what becomes of each record, decided in this order.
+
+    An uploaded record is skipped and keeps its fields; one without a source, one whose source can't be read
+    (its status is stored) and one whose source has no line fail; the others are processed and uploaded.
+    records: (file_id, s3_key_pdf, s3_status); sources: (s3_key_pdf, n_lines), n_lines null where unreadable.
+    """
+    both = records.join(sources.withColumn("_there", F.lit(True)), "s3_key_pdf", "left")
+    status = (
+        F.when(F.col("s3_status") == "uploaded", "skipped").when(F.col("_there").isNull(), "failed")
+        .when(F.col("n_lines").isNull(), "unreadable").when(F.col("n_lines") == 0, "failed").otherwise("processed")
+    )
+    both = both.withColumn("_status", F.coalesce(status, F.lit("failed")))
+    stored = F.when(F.col("_status") == "processed", "uploaded").when(F.col("_status") == "unreadable", "failed").otherwise(F.col("s3_status"))
+    paths = output_paths(prefix, root)
+    new = lambda c: F.when(F.col("_status") == "processed", c)
+    told = F.when(F.col("_status") == "unreadable", "failed").otherwise(F.col("_status"))
+    return both.select("file_id", told.alias("status"), stored.alias("s3_status"), new(paths["s3_key"]).alias("s3_key"), new(paths["url"]).alias("s3_url"))
+
+
+def routed(documents: DataFrame, scanned: DataFrame, as_image, as_text) -> DataFrame:
+    """documents in two branches by scanned (doc_id, scanned), each converted by its own function, and their union.
+
+    Both functions give the same columns. A document that scanned doesn't tell goes by its image.
+    """
+    told = documents.join(scanned.select("doc_id", "scanned"), "doc_id", "left").withColumn("scanned", F.coalesce("scanned", F.lit(True)))
+    return as_image(told.where("scanned").drop("scanned")).unionByName(as_text(told.where("NOT scanned").drop("scanned")))
+
+
+def differing(a: DataFrame, b: DataFrame) -> DataFrame:
+    """Rows, as often as they are in one of two tables more than in the other, with `side`: which of them."""
+    return a.exceptAll(b).withColumn("side", F.lit("first")).unionByName(b.select(a.columns).exceptAll(a).withColumn("side", F.lit("second")))

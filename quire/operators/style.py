@@ -52,13 +52,12 @@ def clip_of_lines(lines: DataFrame, runs: DataFrame, by: str = "doc_id") -> Data
 
 def outline_paths(spark: SparkSession, items: DataFrame) -> DataFrame:
     """(item_id, depth, path): of each bookmark (item_id, parent_id, ord, title) the titles above it."""
-    items.createOrReplaceTempView("quire_outline")
     return spark.sql("""
         WITH RECURSIVE tree(item_id, depth, path) AS (
-          SELECT item_id, 1, title FROM quire_outline WHERE parent_id IS NULL
+          SELECT item_id, 1, title FROM {items} WHERE parent_id IS NULL
           UNION ALL
-          SELECT c.item_id, t.depth + 1, concat(t.path, ' / ', c.title) FROM quire_outline c JOIN tree t ON c.parent_id = t.item_id)
-        SELECT * FROM tree""")
+          SELECT c.item_id, t.depth + 1, concat(t.path, ' / ', c.title) FROM {items} c JOIN tree t ON c.parent_id = t.item_id)
+        SELECT * FROM tree""", items=items)
 
 
 def _number(x: Column) -> Column:

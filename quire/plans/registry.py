@@ -620,3 +620,6 @@ def render_parameters(spark, d):
     fill, stroke = style.render_mode(i % 8)
     zoom = style.zoom(given(3, i % 3 * 0.5), given(4, i.cast("double")), given(5, i.cast("double")), F.lit(612.0), F.lit(792.0))
     return docs(spark, d, "doc_id").select("doc_id", zoom.alias("zoom"), style.clamped_dpi(F.lit(144.0), F.lit(612.0), i * 10.0).alias("dpi"), fill.alias("fill"), stroke.alias("stroke"))
+
+
+from . import drawing  # noqa: E402, F401  registers its queries
