@@ -20,20 +20,34 @@ def checkpointed(df: DataFrame) -> DataFrame:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder in spark.checkpoint.dir; where that is unset, as in tests, a temporary one."""
+    """The folder in spark.checkpoint.dir. Where that is unset, a temporary one if the session is local, as in
+    tests; on a cluster that is an error, since executors don't see each other's disks."""
     sc = spark.sparkContext
     if sc._jsc.sc().getCheckpointDir().isEmpty():
-        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", "") or tempfile.mkdtemp(prefix="quire-"))
+        at = spark.conf.get("spark.checkpoint.dir", "")
+        if not at and not sc.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+        sc.setCheckpointDir(at or tempfile.mkdtemp(prefix="quire-"))
     return sc._jsc.sc().getCheckpointDir().get()
 
 
-def stored(df: DataFrame) -> DataFrame:
-    """df as Parquet in the shared folder."""
-    at = f"{shared_folder(df.sparkSession)}/quire-{uuid.uuid4().hex}"
+def new_folder(spark: SparkSession) -> str:
+    return f"{shared_folder(spark)}/quire-{uuid.uuid4().hex}"
+
+
+def stored(df: DataFrame, at: str | None = None) -> DataFrame:
+    """df as Parquet in the shared folder, or at a new_folder() that the caller removes."""
+    at = at or new_folder(df.sparkSession)
     df.write.parquet(at)
     return df.sparkSession.read.parquet(at)
 
 
+def removed(spark: SparkSession, at: str) -> bool:
+    """Deletes a folder of stored()."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(at)
+    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A table of the folder. Python workers are told where this package is installed."""
     spark.sparkContext.environment.setdefault("PYTHONPATH", str(Path(__file__).resolve().parents[2]))

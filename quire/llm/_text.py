@@ -7,11 +7,13 @@ the contract's `[^\\x20\\x09-\\x0D]+` on UTF-8. No step loops over words or docu
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 WORD = r"[^\x20\x09-\x0D]+"
 #: Bytes of text that are scanned at once; one longer document makes a chunk of its own.
@@ -76,6 +78,20 @@ def words(data: np.ndarray, offsets: np.ndarray) -> Words:
     return Words(starts, ends, np.searchsorted(starts, offsets))
 
 
+def kept(docs: DataFrame, judge: Callable[[Chunk], np.ndarray]) -> DataFrame:
+    """The rows of docs for whose text judge holds, with all their columns. One pass; a row goes through as a
+    struct, so that columns may have any name."""
+    at = docs.columns.index("text")
+    rows = docs.select(F.struct("*").alias("row"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for c in chunks(b.column(0).field(at)):
+                yield b.slice(c.rows.start, len(c.offsets) - 1).filter(pa.array(judge(c)))
+
+    return rows.mapInArrow(run, rows.schema).select("row.*")
+
+
 def mix(h: np.ndarray) -> np.ndarray:
     """Finaliser that spreads every bit (a public 64-bit mixing function)."""
     h = h ^ (h >> _U(30))

@@ -37,8 +37,14 @@ _FOLD[9:14] = 32
 
 
 def characters(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Folded code points, and the documents' offsets in them."""
-    points = np.frombuffer(data.tobytes().decode("utf-8").encode("utf-32-le", "surrogatepass"), np.uint32)
+    """Folded code points, and the documents' offsets in them. Bytes that aren't UTF-8 become U+FFFD."""
+    try:
+        points = np.frombuffer(data.tobytes().decode("utf-8").encode("utf-32-le", "surrogatepass"), np.uint32)
+    except UnicodeDecodeError:
+        texts = [data[a:b].tobytes().decode("utf-8", "replace") for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
+        offsets = np.cumsum([0, *(len(t.encode()) for t in texts)])
+        data = np.frombuffer("".join(texts).encode(), np.uint8)
+        points = np.frombuffer("".join(texts).encode("utf-32-le"), np.uint32)
     ascii_ = points < 128
     points = np.where(ascii_, _FOLD[np.where(ascii_, points, 0)], points)
     heads = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])
@@ -233,17 +239,18 @@ def contained(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 
 def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The rows of docs that hold no item, with all their columns."""
-    at = docs.columns.index("text")
+    """The rows of docs that hold no item, with all their columns, whatever their names.
+
+    Repeated rows stay or go alike; null and empty texts, and rows with a null doc_id, stay unless their text
+    holds an item. An empty benchmark takes nothing out.
+    """
     for index in blocks(benchmark):
         shared = docs.sparkSession.sparkContext.broadcast(index)
 
-        def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            for b in batches:
-                for c in _text.chunks(b.column(at)):
-                    keep = np.ones(len(c.offsets) - 1, bool)
-                    keep[[d for d, *_ in shared.value.search(c.data, c.offsets)]] = False
-                    yield b.slice(c.rows.start, len(keep)).filter(pa.array(keep))
+        def judge(c: _text.Chunk, shared=shared) -> np.ndarray:
+            keep = np.ones(len(c.offsets) - 1, bool)
+            keep[[d for d, *_ in shared.value.search(c.data, c.offsets)]] = False
+            return keep
 
-        docs = docs.mapInArrow(run, docs.schema)
+        docs = _text.kept(docs, judge)
     return docs

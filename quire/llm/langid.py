@@ -120,7 +120,8 @@ def train(docs: DataFrame, learn: Column, per_language: int = PER_LANGUAGE) -> M
 def predict(docs: DataFrame, model: Model | None) -> DataFrame:
     """(doc_id, lang_pred, score) for every row of docs, from text alone.
 
-    A null text, one without a letter, and every text where nothing was learned, are `und` with score 0.
+    A null text, one without a letter, and every text where nothing was learned, are `und` with score 0. Repeated
+    rows are each told, a null doc_id stays null, other columns than doc_id and text are not read.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
 

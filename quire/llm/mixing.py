@@ -71,7 +71,8 @@ def mix(docs: DataFrame) -> DataFrame:
     """(doc_id, size, source_size, target, taken) for every row of docs.
 
     A null text has size 0, a null source is a source, a null doc_id hashes by its text alone. Rows
-    with equal doc_id and text have one hash and are taken alike. Other columns are not read.
+    with equal doc_id and text have one hash and are taken alike, so that a source can miss its target by the
+    size of its most repeated row. Other columns are not read; an empty table gives none.
     """
     sized = checkpointed(sizes(docs))
     plan = checkpointed(targets(sized))

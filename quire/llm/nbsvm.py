@@ -101,7 +101,10 @@ def train(docs: DataFrame, labels: DataFrame, learn: Column, per_class: int = PE
 
 
 def score(docs: DataFrame, model: Model | float) -> DataFrame:
-    """(doc_id, score) for every row of docs, from text alone; a null text counts as empty."""
+    """(doc_id, score) for every row of docs, repeated ones too, from text alone.
+
+    A null text counts as empty, a null doc_id stays null; other columns than doc_id and text are not read.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -116,16 +119,14 @@ def score(docs: DataFrame, model: Model | float) -> DataFrame:
 
 
 def accepted(docs: DataFrame, model: Model | float, least: float = 0.5) -> DataFrame:
-    """The rows of docs that score `least` or more, with all their columns."""
+    """The rows of docs that score `least` or more, with all their columns, whatever their names.
+
+    Rows of equal text stay or go alike, those without a doc_id too; a null text counts as empty.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    at = docs.columns.index("text")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def judge(c: _text.Chunk) -> np.ndarray:
         found = shared.value
-        for b in batches:
-            for c in _text.chunks(b.column(at)):
-                n = len(c.offsets) - 1
-                value = np.full(n, found) if isinstance(found, float) else found.score(c.data, c.offsets)
-                yield b.slice(c.rows.start, n).filter(pa.array(value >= least))
+        return np.full(len(c.offsets) - 1, found >= least) if isinstance(found, float) else found.score(c.data, c.offsets) >= least
 
-    return docs.mapInArrow(run, docs.schema)
+    return _text.kept(docs, judge)
