@@ -115,7 +115,11 @@ def matrix(rows: DataFrame, features: Features, bits: list[int]) -> tuple[list[n
     lists = found.column("columns").combine_chunks()
     flat, ptr = lists.flatten().to_numpy(), np.concatenate([[0], np.cumsum(lists.value_lengths().to_numpy())])
     order = np.argsort([hash_of(flat[a:b]) for a, b in zip(ptr[:-1], ptr[1:], strict=True)], kind="stable")  # reruns agree
-    return [flat[ptr[i] : ptr[i + 1]] for i in order], [found.column("label")[int(i)].as_py() for i in order]
+    labels = [found.column("label")[int(i)].as_py() for i in order]
+    flat = flat.copy()
+    del found, lists
+    pa.default_memory_pool().release_unused()
+    return [flat[ptr[i] : ptr[i + 1]] for i in order], labels
 
 
 def hash_of(columns: np.ndarray) -> int:
@@ -123,9 +127,14 @@ def hash_of(columns: np.ndarray) -> int:
 
 
 def unit(rows: list[np.ndarray], values: np.ndarray) -> list[np.ndarray]:
-    """Each row's values, scaled to length one."""
-    found = [values[r] for r in rows]
-    return [v / max(np.sqrt((v * v).sum()), 1e-12) for v in found]
+    """Each row's values, scaled to length one: parts of one array, which goes back to the system as a whole."""
+    ptr = np.concatenate([[0], np.cumsum([len(r) for r in rows])]).astype(np.int64)
+    found = np.empty(ptr[-1])
+    out = [found[a:b] for a, b in zip(ptr[:-1], ptr[1:], strict=True)]
+    for r, v in zip(rows, out, strict=True):
+        np.take(values, r, out=v)
+        v /= max(np.sqrt(v @ v), 1e-12)
+    return out
 
 
 def hinge(rows: list[np.ndarray], x: list[np.ndarray], width: int, y: np.ndarray, cost: np.ndarray, rounds: int = 30, seed: int = 0) -> np.ndarray:
@@ -158,7 +167,9 @@ def margins(rows: list[np.ndarray], x: list[np.ndarray], w: np.ndarray) -> np.nd
 
 def log_ratios(rows: list[np.ndarray], y: np.ndarray, width: int, least: int = 3, smooth: float = 1.0) -> np.ndarray:
     """Naive Bayes log-count ratio of each indicator; 0 for those in fewer than `least` rows."""
-    up, down = (np.bincount(np.concatenate([r for r, k in zip(rows, y, strict=True) if k == c] or [np.zeros(0, int)]), minlength=width).astype(float) for c in (1, -1))
+    up, down = np.zeros(width), np.zeros(width)
+    for r, k in zip(rows, y, strict=True):
+        (up if k == 1 else down)[r] += 1  # a row has each column once
     p, q = up + smooth, down + smooth
     return np.where(up + down >= least, np.log(p / p.sum()) - np.log(q / q.sum()), 0.0)
 
