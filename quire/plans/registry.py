@@ -301,7 +301,7 @@ NAMES = "CASE doc_id % 4 WHEN 0 THEN 'a%d%03d_' || doc_id || '.page' WHEN 1 THEN
 @query(f"SELECT doc_id, CASE WHEN regexp_matches(n, '%[0-9]*d') THEN replace(regexp_extract(n, '^(.*?)(%[0-9]*d)(.*)$', 1), '%', '%%') || regexp_extract(n, '^(.*?)(%[0-9]*d)(.*)$', 2) || replace(regexp_extract(n, '^(.*?)(%[0-9]*d)(.*)$', 3), '%', '%%') END AS template, printf('page_%04d_img_%03d.png', doc_id, doc_id % 7) AS asset, lower(printf('%06x', doc_id * 37)) AS colour FROM (SELECT doc_id, {NAMES} AS n FROM documents)")
 def filename_template(spark, d):
     named = docs(spark, d, "doc_id").withColumn("n", F.expr(NAMES))
-    return named.select("doc_id", T.filename_template("n").alias("template"), T.page_file(F.lit(""), F.col("doc_id"), F.col("doc_id") % 7, "png").alias("asset"), F.substring(T.hex_colour(F.col("doc_id") * 37), 2, 6).alias("colour"))
+    return named.select("doc_id", T.filename_template("n").alias("template"), T.page_file(F.lit(""), F.col("doc_id"), F.col("doc_id") % 7, "png").alias("asset"), F.ltrim(T.hex_colour(F.col("doc_id") * 37), F.lit("#")).alias("colour"))
 
 
 @query("SELECT page_id, regexp_replace(regexp_extract(url, '[^/]*$'), '(.)\\.[^.]*$', '\\1') AS stem, lower(regexp_extract(regexp_extract(url, '[^/]*$'), '^.+(\\.[^.]*)$', 1)) AS suffix FROM pages")

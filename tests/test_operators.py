@@ -55,6 +55,14 @@ def test_filename_template(spark):
     assert values(spark, ["a%d%x", "%s%03d", "plain", "%"], T.filename_template("x")) == ["a%d%%x", "%%s%03d", None, None]
 
 
+def test_hex_colour_keeps_all_digits(spark, tmp_path):
+    numbers = [0, 255, 0xFFFFFF, 0x1000000, 37 * 512820]
+    assert values(spark, list(map(str, numbers)), T.hex_colour(F.col("x").cast("long"))) == [f"#{n:06x}" for n in numbers]
+    spark.createDataFrame([(i,) for i in (1, 453438, 453439, 512820)], "doc_id long").write.parquet(f"{tmp_path}/documents.parquet")
+    found = registry.filename_template(spark, str(tmp_path)).collect()
+    assert {r.doc_id: r.colour for r in found} == {i: f"{37 * i:06x}" for i in (1, 453438, 453439, 512820)}
+
+
 def test_illegal_codes(spark):
     got = {r.id for r in spark.range(0, 0x10000).where(T.is_illegal_code("id")).collect()}
     assert {0, 0x1F, 0x7F, 0xA0, 0xAD, 0x900, 0xFEFF, 0xFFFF} <= got and not {0x20, 0xA1, 0x980, 0xFFFD} & got
