@@ -14,7 +14,7 @@ from quire.functions import text as T
 def zone(text: Column, indent: Column, base: Column, italic: Column) -> Column:
     """The first zone whose pattern matches; else quote by indent, or body."""
     upper = F.upper(T.strip(text))
-    named = reduce(lambda c, z: c.when(upper.rlike(z[1]), z[0]), P.ZONES[1:], F.when(upper.rlike(P.ZONES[0][1]), P.ZONES[0][0]))
+    named = reduce(lambda c, z: c.when(upper.rlike(T.ascii_bounds(z[1])), z[0]), P.ZONES[1:], F.when(upper.rlike(P.ZONES[0][1]), P.ZONES[0][0]))
     return named.when((indent > base + 60) & italic, "quote").when(indent > base + 80, "quote").otherwise("body")
 
 

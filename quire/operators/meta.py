@@ -30,7 +30,7 @@ def citation(text: Column) -> dict[str, Column]:
 def case_number(head: Column, source: Column) -> Column:
     """The source record's, without a citation behind it; else the first header line that is a case number."""
     own = T.strip(F.regexp_replace(F.coalesce(T.strip(source), F.lit("")), P.TRAILING_CITATION, ""))
-    return F.when(own != "", own).otherwise(first(F.transform(head, lambda x: T.strip(F.regexp_extract(T.strip(x), P.CASE_NUMBER, 1)))))
+    return F.when(own != "", own).otherwise(first(F.transform(head, lambda x: T.strip(F.regexp_extract(T.strip(x), T.ascii_bounds(P.CASE_NUMBER), 1)))))
 
 
 def dated(head: Column, patterns: tuple[str, ...], tidy: bool) -> Column:
@@ -63,7 +63,7 @@ def party(head: Column, pattern: str, source: Column, side: int) -> Column:
 
 
 def connected(text: Column) -> Column:
-    return text.rlike(P.CONNECTED) | (F.regexp_count(text, F.lit(P.CASE_COUNT)) >= 5)
+    return text.rlike(P.CONNECTED) | (F.regexp_count(text, F.lit(T.ascii_bounds(P.CASE_COUNT))) >= 5)
 
 
 def _heading(x: Column) -> Column:
@@ -77,10 +77,10 @@ def _position(lines: Column, test) -> Column:
 
 def bench(head: Column) -> Column:
     """Judges below the CORAM line, up to a heading, in capitals and without their titles."""
-    at = _position(head, lambda x: x.rlike(P.CORAM))
+    at = _position(head, lambda x: x.rlike(T.ascii_bounds(P.CORAM)))
     below = F.transform(F.slice(head, at + 1, F.lit(AFTER_CORAM)), lambda x: T.strip(F.regexp_replace(T.strip(x), ",+$", "")))
     stop = F.coalesce(_position(below, lambda x: (x != "") & (_heading(x) | x.rlike(P.BENCH_STOP))), F.lit(AFTER_CORAM + 1))
-    names = F.transform(F.slice(below, F.lit(1), stop - 1), lambda x: F.upper(T.strip(F.regexp_replace(T.strip(F.regexp_replace(x, P.BENCH_PREFIX, "")), ",+$", ""))))
+    names = F.transform(F.slice(below, F.lit(1), stop - 1), lambda x: T.upper(T.strip(F.regexp_replace(T.strip(F.regexp_replace(x, P.BENCH_PREFIX, "")), ",+$", ""))))
     return F.coalesce(F.filter(names, lambda x: F.length(x) >= 3), F.array().cast("array<string>"))
 
 
@@ -95,18 +95,18 @@ def judgment_by(lines: Column) -> Column:
 
 def advocates(raw: Column) -> Column:
     """Names with a title, without roles, eight at most."""
-    raw = F.regexp_replace(F.regexp_replace(raw, P.ADVOCATE_SIDE, ""), P.ADVOCATE_TITLE, "")
+    raw = F.regexp_replace(F.regexp_replace(raw, P.ADVOCATE_SIDE, ""), T.ascii_bounds(P.ADVOCATE_TITLE), "")
     names = F.split(F.regexp_replace(raw, r"(?i)\s+with\s+", ", "), r",\s*")
     names = F.transform(F.filter(names, lambda x: x.rlike(r"\S")), lambda x: F.regexp_replace(T.strip(x), r"\.+$", ""))
     return F.slice(F.filter(names, lambda x: x.rlike(P.ADVOCATE_NAME)), 1, MOST_NAMES)
 
 
 def both_advocates(text: Column) -> dict[str, Column]:
-    blocks = F.regexp_extract_all(text, F.lit(P.THROUGH), F.lit(1))
+    blocks = F.regexp_extract_all(text, F.lit(T.ascii_bounds(P.THROUGH)), F.lit(1))
 
     def side(k: int, own: str, other: str) -> Column:
         through = advocates(F.coalesce(F.get(blocks, F.lit(k)), F.lit("")))
-        named = advocates(F.regexp_extract(text, rf"(?is)For\s+the\s+{own}\s*:\s*(.+?)(?=For\s+the\s+{other}|CORAM\b|$)", 1))
+        named = advocates(F.regexp_extract(text, T.ascii_bounds(rf"(?is)For\s+the\s+{own}\s*:\s*(.+?)(?=For\s+the\s+{other}|CORAM\b|$)"), 1))
         return F.when(F.size(through) > 0, through).otherwise(named)
 
     return {"advocates_petitioner": side(0, "Petitioner", "Respondent"), "advocates_respondent": side(1, "Respondent", "Petitioner")}
@@ -121,7 +121,7 @@ def referred(lines: Column, own: Column) -> Column:
 
 def acts(text: Column) -> Column:
     """Names of acts, sorted, without phrases that only look like one."""
-    found = F.transform(F.regexp_extract_all(text, F.lit(P.ACT), F.lit(1)), T.strip)
+    found = F.transform(F.regexp_extract_all(text, F.lit(T.ascii_bounds(P.ACT)), F.lit(1)), T.strip)
     word = lambda x: F.lower(F.get(F.split(x, r"\s+"), F.lit(0)))
     fit = lambda x: F.length(x).between(8, 80) & ~x.rlike(P.ACT_NOISE) & (T.words(x) >= 2) & ~word(x).isin(P.ACT_STOP_WORDS)
     return F.array_sort(F.array_distinct(F.filter(found, fit)))
@@ -137,6 +137,6 @@ def extract(judgments: DataFrame) -> DataFrame:
         case_number(c("head"), c("source_case")).alias("case_number"), judgment_date(c("head"), c("source_date")).alias("judgment_date"), dated(c("head"), P.RESERVED_DATES, False).alias("reserved_on"),
         party(c("head"), P.APPELLANT, c("source_party"), 0).alias("appellant"), party(c("head"), P.RESPONDENT, c("source_party"), 1).alias("respondent"), "is_connected_matter",
         F.when(c("is_connected_matter"), T.strip(F.regexp_extract("head_text", P.LEAD_CASE, 1))).otherwise("").alias("lead_case"), "bench", judgment_by(c("lines")).alias("judgment_by"),
-        c("full_text").rlike(P.ORAL).alias("is_oral_judgment"), c("full_text").rlike(P.VIDEO).alias("via_video_conferencing"),
+        c("full_text").rlike(P.ORAL).alias("is_oral_judgment"), c("full_text").rlike(T.ascii_bounds(P.VIDEO)).alias("via_video_conferencing"),
         *(x.alias(n) for n, x in both_advocates(c("head_text")).items()), referred(c("lines"), c("citation")).alias("referred_cases"), acts(c("full_text")).alias("acts_referred"),
     )

@@ -17,6 +17,8 @@ TAILS = [
     ["Relied on (2005) 7 SCR 234; [2013] 1 SCC 641; 2019:DHC:55; 2020:DHC:99.", "4. Order vii of the Civil Code does not apply, nor the Motor Vehicles Rules.", "MARCH 3, 2020"],
     ["No authority was cited.", "N. PAUL, J. (ORAL)"],
 ]
+#: What SQL's trim takes for a space.
+SPACES = " \u00a0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u202f\u205f\u3000"
 PARTIES = ["Alpha Vs Beta", "Gamma v. Delta", "", "Epsilon vs Zeta vs Eta", "Theta"]
 
 
@@ -29,7 +31,7 @@ def judgment_lines(docs: DataFrame) -> DataFrame:
     the lines. doc_id picks head and tail, so each combination occurs."""
     flat = F.regexp_replace("text", r"[\n\r]", " ")
     parts = F.regexp_extract_all(flat, F.lit("(?s).{1,64}"), F.lit(0))  # one pass, where substrings would each count from the start
-    body = F.coalesce(F.transform(parts, lambda x: F.trim(x)), F.array().cast("array<string>"))
+    body = F.coalesce(F.transform(parts, lambda x: F.trim(x, F.lit(SPACES))), F.array().cast("array<string>"))
     pick = lambda x, k: F.get(_literal(x), (F.col("doc_id") % k).cast("int"))
     lines = F.filter(F.concat(pick(HEADS, len(HEADS)), body, pick(TAILS, len(TAILS))), lambda x: x != "")
     return docs.select(

@@ -3,6 +3,7 @@
 import base64
 import html
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
@@ -130,6 +131,16 @@ def test_judgment_metadata(spark):
     assert row.judgment_by == "E. KUMAR" and row.is_oral_judgment and row.via_video_conferencing
 
 
+def test_bench_beside_accented_letters_equals_its_sql(spark, tmp_path):
+    texts = ["enñcorami " + "straße y más " * 20, "xcoram " + "a b " * 40, "el coramá " + "ǰ ﬁn ᾳ ß " * 20, "coram: " + " \u00a0zz\u3000z " * 60]
+    spark.createDataFrame([(4 * i + 3, t) for i, t in enumerate(texts)], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    found = {r.doc_id: (r.bench, r.is_division_bench) for r in registry.meta_bench(spark, str(tmp_path)).collect()}
+    c = duckdb.connect()
+    c.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+    assert found == {i: (bench, division) for i, bench, division in c.execute(registry.ORACLE_SQL["meta_bench"]).fetchall()}
+    assert "STRAẞE" in found[3][0][0] and found[7] == ([], False) and found[11][1]
+
+
 def test_merged_paragraphs(spark):
     kinds = [("heading", "ORDER"), ("body", "lead in"), ("body", "1."), ("body", "First"), ("body", "goes on"), ("quote", "said"), ("body", "after"), ("body", "2) Second"), ("heading", "END"), ("body", "tail")]
     df = spark.createDataFrame([(1, i, k, t) for i, (k, t) in enumerate(kinds)], "doc_id long, ord int, kind string, text string")
