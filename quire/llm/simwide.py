@@ -10,7 +10,8 @@ may differ, three deviations over the mean at 0.8, and 0.8 of the texts' differe
 
 Texts with the same set of shingles are one node. Lists are compared in blocks of bounded size. First each
 node is held against the one that it shares most bytes with, and nodes that share LEAST bytes with no other
-of their block leave it. Then only nodes meet that the verified pairs haven't connected.
+of their list leave it, but for lists of several blocks: a partner may be in another block, so all stay and each
+block meets each other one. Then only nodes meet that the verified pairs haven't connected.
 """
 
 from __future__ import annotations
@@ -165,7 +166,8 @@ def _meeting(cuts: np.ndarray, sizes: np.ndarray, word: np.ndarray) -> np.ndarra
 
 def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(key, block, ids) of sorted postings, for lists of two or more that may be alike; ids: halves of the
-    nodes' ids. Each block of a long list begins with the list's first nodes; a list is streamed, never held."""
+    nodes' ids. block is 0 for a list of one block; the blocks of a longer one count from 1, and each begins with
+    the list's first nodes. Such a list is streamed, never held."""
     rest = np.zeros(0, _U), np.zeros(0, _U)
     streamed = None  # of a list that is streamed: its key, its first nodes, how many blocks it has had
 
@@ -173,7 +175,7 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return pa.RecordBatch.from_arrays([pa.array(key.astype(np.uint32).view(np.int32)), pa.array(block, pa.int32()), ids], ["key", "block", "ids"])
 
     def block(key: np.uint64, ids: np.ndarray, number: int) -> pa.RecordBatch:
-        return rows(np.array([key]), [number], pa.array([ids], pa.list_(pa.int64())))
+        return rows(np.array([key]), [number + 1], pa.array([ids], pa.list_(pa.int64())))
 
     for b in chain(batches, [None]):
         new = [b.column(i).to_numpy().view(_U) for i in (0, 1)] if b is not None else [x[:0] for x in rest]
@@ -222,9 +224,9 @@ def _structs(column: pa.Array, row: int) -> list[pa.Array]:
     return column[row].values.flatten()
 
 
-def _best(ids: np.ndarray, f: np.ndarray) -> list[pa.Array] | None:
-    """Of a block's nodes those that share LEAST bytes with another, and for each of them that has an earlier
-    one the one with which it shares most, and the tally (null for the others)."""
+def _best(ids: np.ndarray, f: np.ndarray, every: bool) -> list[pa.Array] | None:
+    """Of a block's nodes those that share LEAST bytes with another, or every node, and for each of them that has
+    an earlier one the one with which it shares most, and the tally (null for the others)."""
     alive, best, most = np.zeros(len(f), bool), np.zeros(len(f), np.int64), np.zeros(len(f), np.int32)
     for lo, tally in _tallies(f, f):
         at = lo + np.arange(len(tally))
@@ -233,18 +235,20 @@ def _best(ids: np.ndarray, f: np.ndarray) -> list[pa.Array] | None:
         tally[np.arange(len(f))[None, :] >= at[:, None]] = 0
         best[at] = tally.argmax(axis=1)
         most[at] = tally[at - lo, best[at]]
+    alive |= every
     has = (most >= LEAST)[alive]
     return [pa.array(ids[alive]), *(pa.array(x[alive], mask=~has) for x in (ids[best], most))] if alive.any() else None
 
 
 def _nearest(nodes_of_row: Callable[[pa.RecordBatch, int], tuple[np.ndarray, np.ndarray]]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """(key, block, ids, near, n) of blocks: _best() of their nodes."""
+        """(key, block, ids, near, n) of blocks: _best() of their nodes, every one of a list of several blocks."""
         for b in batches:
             found = []
             for r in range(len(b)):
-                if (lists := _best(*nodes_of_row(b, r))) is not None:
-                    found.append((b.column(0)[r].as_py(), b.column(1)[r].as_py(), *lists))
+                block = b.column(1)[r].as_py()
+                if (lists := _best(*nodes_of_row(b, r), block > 0)) is not None:
+                    found.append((b.column(0)[r].as_py(), block, *lists))
             if found:
                 key, block, *lists = zip(*found, strict=True)
                 lists = [pa.array(x, pa.list_(t)) for x, t in zip(lists, (pa.int64(), pa.int64(), pa.int32()), strict=True)]
@@ -340,10 +344,9 @@ def linked(docs: DataFrame, known: DataFrame, shingle: int) -> DataFrame:
     nodes = checkpointed(nodes.select(F.col("fp").alias("id"), "n", "sim", "text.*"))
     postings = nodes.select("id", "sim").mapInArrow(_postings, "key int, posting long, word long").repartition(n, "key").select("posting", "word").sortWithinPartitions("posting")
     blocks = checkpointed(postings.mapInArrow(_blocks, "key int, block int, ids array<long>"))
-    long = blocks.where("block > 0").select("key").distinct().withColumn("long", F.lit(True))
-    blocks = blocks.withColumn("ids", F.array_distinct("ids")).join(long, "key", "left")
-    short = blocks.where("long IS NULL").groupBy("ids").agg(F.min("key").alias("key"))  # many lists hold the same nodes
-    blocks = short.select("key", F.lit(0).alias("block"), "ids").unionByName(blocks.where("long").select("key", "block", "ids"))
+    blocks = blocks.withColumn("ids", F.array_distinct("ids"))
+    short = blocks.where("block = 0").groupBy("ids").agg(F.min("key").alias("key"))  # many lists hold the same nodes
+    blocks = short.select("key", F.lit(0).alias("block"), "ids").unionByName(blocks.where("block > 0"))
     schema = "key int, block int, ids array<long>, near array<long>, n array<int>"
     by_half = nodes.select(F.shiftrightunsigned("id", 32).alias("half"), "id", "sim")
     listed = checkpointed(by_half.join(blocks.select(F.explode("ids").alias("half")).distinct(), "half", "left_semi"))

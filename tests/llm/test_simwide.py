@@ -96,6 +96,26 @@ def test_streamed_blocks_hold_each_list_once(monkeypatch, block, step):
             assert found == [own[: min(lo, 2)] + own[lo : lo + block] for lo in range(0, len(own), block)]
 
 
+def test_partners_in_different_blocks_of_a_list_meet(monkeypatch):
+    """Two alike nodes are the only such pair of a list, each among unlike nodes in a block of its own."""
+    monkeypatch.setattr(simwide, "BLOCK", 8)
+    monkeypatch.setattr(simwide, "LEADERS", 2)
+    f = np.random.default_rng(7).integers(0, 256, (30, simwide.POSITIONS)).astype(np.uint8)
+    f[21] = f[12]
+    f[21, :40] ^= 1
+    ids = np.arange(30)
+    posting = pa.RecordBatch.from_arrays([pa.array(7 << 32 | ids), pa.array(np.full(30, 5))], ["posting", "word"])
+
+    class Shared:
+        value = ids, ids, f
+
+    blocks = pa.Table.from_batches(simwide._nearest(simwide._looked_up(Shared))(simwide._blocks(iter([posting])))).to_pylist()
+    assert sorted({i for b in blocks for i in b["ids"]}) == ids.tolist() and not any(b["block"] == 0 for b in blocks)
+    sides = [(i := np.array(b["ids"]), i, np.full(len(i), 50), f[i]) for b in blocks]
+    pairs = {tuple(sorted(p)) for x, a in enumerate(sides) for b in sides[x + 1 :] for p in simwide._apart(a, b).T.tolist()}
+    assert pairs == {(12, 21)}
+
+
 def test_lists_lose_those_that_are_far_from_all_others():
     word = np.array([0, 1, -1, -2, 0xFFFFFFFF, 7], np.int64).view(np.uint64)
     assert simwide._meeting(np.array([0, 5]), np.array([5, 1]), word).tolist() == [True, True, True, True, False, False]
